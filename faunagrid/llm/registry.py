@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunagrid.llm import bpe
+from faunagrid.llm import bpe, lines
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
+        "op7_line_dedup": lines.op7_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_line_dedup": lines.OP7_SQL,
+    }
