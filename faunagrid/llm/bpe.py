@@ -85,7 +85,7 @@ class Codec:
         self.names = {rank: str(rank) for rank in self.tokens}
         self.cache: dict[str, tuple[int, ...]] = {}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.none = max(ranks.values()) + 1  # no rank
+        self.none = (max(ranks.values()) >> 6) + 1 << 6  # no rank, and in a word of its own
         self.width = self.none + 1
         pairs = {ranks[t[:i]] * self.width + ranks[t[i:]]: r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self.pair_keys = np.array(sorted(pairs), np.int64)
