@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunagrid.llm import bpe, lines
+from faunagrid.llm import bpe, fingerprints, lines
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
         "op7_line_dedup": lines.op7_line_dedup,
+        "op10_lz_fingerprints": fingerprints.op10_lz_fingerprints,
     }
 
 
