@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunagrid.llm import bpe, fingerprints, lines
+from faunagrid.llm import bpe, fingerprints, lines, mixing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
+        "op3_source_mix": mixing.op3_source_mix,
         "op7_line_dedup": lines.op7_line_dedup,
         "op10_lz_fingerprints": fingerprints.op10_lz_fingerprints,
     }
