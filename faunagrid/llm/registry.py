@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunagrid.llm import bpe, fingerprints, lines, mixing, secrets
+from faunagrid.llm import bpe, fingerprints, lines, mixing, secrets, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
         "op3_source_mix": mixing.op3_source_mix,
         "op7_line_dedup": lines.op7_line_dedup,
+        "op8_exact_topk": topk.op8_exact_topk,
         "op9_secret_scan": secrets.op9_secret_scan,
         "op10_lz_fingerprints": fingerprints.op10_lz_fingerprints,
     }
@@ -22,5 +23,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_line_dedup": lines.OP7_SQL,
+        "op8_exact_topk": topk.OP8_SQL,
         "op9_secret_scan": secrets.OP9_SQL,
     }
