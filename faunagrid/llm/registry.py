@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunagrid.llm import bpe, fingerprints, lines, mixing, secrets, topk
+from faunagrid.llm import bpe, fingerprints, lines, mixing, quality, secrets, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
+        "op2_quality_classifier": quality.op2_quality_classifier,
         "op3_source_mix": mixing.op3_source_mix,
         "op7_line_dedup": lines.op7_line_dedup,
         "op8_exact_topk": topk.op8_exact_topk,
