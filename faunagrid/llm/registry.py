@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faunagrid.llm import bpe, fingerprints, lines, mixing, quality, secrets, topk
+from faunagrid.llm import bpe, fingerprints, html_text, lines, mixing, quality, secrets, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
         "op2_quality_classifier": quality.op2_quality_classifier,
         "op3_source_mix": mixing.op3_source_mix,
+        "op6_html_main_text": html_text.op6_html_main_text,
         "op7_line_dedup": lines.op7_line_dedup,
         "op8_exact_topk": topk.op8_exact_topk,
         "op9_secret_scan": secrets.op9_secret_scan,
