@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faunagrid.functions.cells import cell_to_parent, cell_to_string, resolution, string_to_cell
+from faunagrid.functions.h3core import all_cells, cell_to_latlng, latlng_to_cell
 from faunagrid.functions.stats import es_term, lgamma
 from faunagrid.operators import datasets, grid, indicators
 from faunagrid.plans import store as stores
@@ -227,6 +228,29 @@ def _map_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _even(grid.map_layer(found, "es", "ES50", "log10").select("hexid", "fill", "label"))
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places spread over the globe, with their cells at several resolutions, and the centres of these."""
+    places = _sql(spark, sf_dir, "SELECT DISTINCT (l_partkey * 7919) % 36000 / 100D - 180 AS lng, (l_orderkey * 104729) % 18000 / 100D - 90 AS lat FROM lineitem")
+    found = places.withColumn("res", F.explode(F.array(*map(F.lit, (0, 3, 7, 12))))).withColumn("cell_id", latlng_to_cell(F.col("lat"), F.col("lng"), F.col("res")))
+    centred = found.withColumn("centre", cell_to_latlng(F.col("cell_id")))
+    return centred.select("lng", "lat", "res", "cell_id", cell_to_string("cell_id").alias("hexid"), F.round("centre.lng", 6).alias("centre_lng"), F.round("centre.lat", 6).alias("centre_lat"))
+
+
+def _binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The indicator layer of occurrences binned by their own places."""
+    base = stores.base_records(_occurrences(spark, sf_dir).drop("cell_id"))
+    return _even(stores.index_of(base, levels=(1, 2, 3, 7)).withColumn("res", F.col("res").cast("int")))
+
+
+def _grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of each resolution, and how many of them are within a cell of the next coarser one."""
+    found = None
+    for res in range(5):
+        cells = all_cells(spark, res).select(F.lit(res).alias("res"), "cell_id", cell_to_parent("cell_id", max(0, res - 1)).alias("parent"))
+        found = cells if found is None else found.unionByName(cells)
+    return found.groupBy("res").agg(F.count_distinct("cell_id").alias("cells"), F.count_distinct("parent").alias("parents"))
+
+
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.occurrence_sample(_normal(spark, sf_dir), 500)
 
@@ -238,9 +262,6 @@ def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _even(stores.Store(spark, path).idx().withColumn("res", F.col("res").cast("int")).select("res", "cell_id", "n", "sp", "shannon", "simpson", "es"))
 
 
-_FLAT = "decimalLongitude, decimalLatitude, species, records"
-
-
 def _flat(choose: Callable[[DataFrame], DataFrame]) -> Query:
     def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept = choose(_normal(spark, sf_dir))
@@ -317,6 +338,10 @@ def _pairs() -> dict[str, tuple[Query, str | None]]:
         ),
         "map_layer": (_map_layer, f"SELECT CAST(cell AS VARCHAR) AS hexid, {_round('log10(v)')} AS fill, 'ES50' AS label FROM ({_indicator_sql(_EVENT_TOTALS, 'cell', ['es']).replace(_MEASURES['es'] + ' AS es', 'sum(esi) AS v')})"),
         "sample_exact_n": (_sample, None),
+        "latlng_to_cell": (_places, None),
+        "binned_index": (_binned, None),
+        "make_grid": (lambda s, d: grid.make_grid(s, 2), None),
+        "grid_cell_counts": (_grid_counts, "SELECT r AS res, CAST(2 + 120 * power(7, r) AS BIGINT) AS cells, CAST(2 + 120 * power(7, greatest(r - 1, 0)) AS BIGINT) AS parents FROM (SELECT CAST(unnest(range(5)) AS INTEGER) AS r)"),
     }
     for esn in (10, 50, 100):
         found[f"es_{esn}"] = (_calc(_events, ["es"], esn), _indicator_sql(_EVENT_TOTALS, "cell", ["es"], esn))

@@ -76,8 +76,10 @@ def within(df: DataFrame, box: Sequence[float]) -> DataFrame:
 
 
 def known(df: DataFrame) -> DataFrame:
-    """Records with a species and a place."""
-    return df.dropna(subset=list(REQUIRED))
+    """Records with a species and a place, by tests that reach the scan."""
+    for name in REQUIRED:
+        df = df.where(F.col(name).isNotNull())
+    return df
 
 
 def present(df: DataFrame) -> DataFrame:
