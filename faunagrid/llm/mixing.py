@@ -54,9 +54,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     budget = F.sum(F.col("source_size").cast("double")).over(every) * F.lit(share)
     left = budget - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
     weight = F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))
-    w = w.withColumn("_level", left / weight)
-    w = w.withColumn("_level", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct((F.col("_cap") / F.col("_w")).alias("r"), F.col("_level").alias("v")))).over(every)["v"])
-    return w.withColumn("target", F.coalesce(F.least("_cap", F.col("_level") * F.col("_w")), F.col("_cap"))).drop("_w", "_cap", "_level")
+    w = w.withColumn("_level", left / weight).withColumn("_at", F.row_number().over(by_ratio))
+    w = w.withColumn("_level", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct("_at", "_level"))).over(every)["_level"])
+    return w.withColumn("target", F.coalesce(F.least("_cap", F.col("_level") * F.col("_w")), F.col("_cap"))).drop("_w", "_cap", "_level", "_at")
 
 
 def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
