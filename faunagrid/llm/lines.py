@@ -122,7 +122,8 @@ class LineRuns:
 def repeated(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
     """For each document that loses lines: ``doc``, and ``drops``, the hashes of those keys."""
     keys = stored(key_table(df, key, text, min_chars), "line-keys")
-    cuts = sorted({int(x) for x in keys.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)}, reverse=True)
+    shares = [i / batches for i in range(1, batches)]
+    cuts = sorted({int(x) for x in keys.approxQuantile("doc", shares, 0.01)}, reverse=True) if shares else []
     runs, above = LineRuns(df.sparkSession), None
     for cut in [*cuts, None]:
         batch = keys if above is None else keys.where(F.col("doc") <= above)

@@ -15,7 +15,7 @@ with a bounded chunk of queries.
 Defined cases: vectors that are null or hold null or non-finite components take no part, and
 neither do rows with a null id; vectors of unequal lengths are padded with zeros; of repeated
 ids the smallest vector stands for all; ties go to the smaller id; fewer candidates than k give
-fewer rows; scores beyond 64 bits are clipped to them; no valid vectors give an empty result.
+fewer rows; scores beyond 63 bits and a sign are clipped to them; no valid vectors give an empty result.
 """
 
 from __future__ import annotations
@@ -45,7 +45,13 @@ SLACK = 1e-9
 
 
 def scaled(vectors: Column, scale: int = SCALE) -> Column:
-    return F.transform(vectors, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
+    """Whole numbers, in doubles: large ones are whole already, and beyond what Spark's floor returns."""
+
+    def whole(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+
+    return F.transform(vectors, whole)
 
 
 def valid(vectors: Column) -> Column:
@@ -73,10 +79,10 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def scores(queries: np.ndarray, vectors: np.ndarray, largest: float) -> np.ndarray:
     """Integer inner products; beyond the range of exact doubles by Python's integers."""
-    if largest < EXACT:
+    if largest < EXACT:  # no partial sum is larger, by Cauchy and Schwarz over fewer components
         return (queries @ vectors.T).astype(np.int64)
     exact = np.array([[int(x) for x in row] for row in queries], object) @ np.array([[int(x) for x in row] for row in vectors], object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    return np.clip(exact, 1 - (1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 class Index:
