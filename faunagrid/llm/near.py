@@ -24,7 +24,7 @@ is the smallest of both, else separate; other columns are not read by ``link``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +45,15 @@ CELLS = 1 << 21
 #: Documents of one token in one tree.
 BLOCK = 1024
 LEAF = 8
+#: Documents of one token that are compared by size and place alone before signatures are made.
+SMALL = 64
 #: Sets verified against one at a time by one task.
 VERIFY = 256
-#: Word hashes that a worker remembers.
-CACHE_WORDS = 1_000_000
+#: Logarithm of the most bits that tell open tokens (64 MB); fewer for fewer tokens.
+MOST_BITS = 29
 #: Prefix tokens, at about, that one bucket gathers.
 BUCKET_TOKENS = 1_000_000
 
-_known: dict[bytes, int] = {}
 _MIX = np.random.default_rng(5).integers(1 << 62, 1 << 63, 64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -68,16 +69,7 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     tokens = text.lower().split()
     if not tokens:
         return np.empty(0, np.uint64)
-    if len(_known) > CACHE_WORDS:
-        _known.clear()
-    get = _known.get
-    found = []
-    for token in tokens:
-        h = get(token)
-        if h is None:
-            h = _known[token] = xxhash.xxh3_64_intdigest(token)
-        found.append(h)
-    h = np.array(found, np.uint64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
     if len(h) < words:
         return mixed((h * _MIX[: len(h)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(h)))
     n = len(h) - words + 1
@@ -92,7 +84,7 @@ def prefix_length(n: int) -> int:
     return n - -(-n * PERCENT // 100) + 1 if n else 0
 
 
-def overlap_needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def overlap_needed(n: int, m: int) -> int:
     """Smallest intersection of sets of n and m tokens alike."""
     return -(-(n + m) * PERCENT // (100 + PERCENT))
 
@@ -132,18 +124,20 @@ def profiles(df: DataFrame, key: str, text: str) -> DataFrame:
         some = False
         for batch in batches:
             rows: dict[str, list] = {"id": [], "n": [], "k1": [], "k2": [], "stars": []}
+            every = [np.empty(0, np.uint64)]
             for own, tokens in _sets(batch):
                 stars: list[int] = []
                 digest = b"\0" * 16
                 if len(tokens):
-                    least = np.array([(tokens * m).min() for m in multipliers]).reshape(STAR_KEYS, STAR_ROWS)
+                    least = np.array([(tokens * m).min() for m in multipliers] if len(tokens) > 5000 else (tokens[None, :] * multipliers[:, None]).min(1)).reshape(STAR_KEYS, STAR_ROWS)
                     stars = mixed((least * _MIX[8 : 8 + STAR_ROWS]).sum(1, dtype=np.uint64) + np.arange(STAR_KEYS, dtype=np.uint64)).view(np.int64).tolist()
                     digest = xxhash.xxh3_128_digest(tokens.tobytes())
-                    np.add.at(counts, (tokens & np.uint64(CELLS - 1)).astype(np.int64), 1)
+                    every.append(tokens)
                     some = True
                 halves = np.frombuffer(digest, "<i8")
                 for column, value in zip(rows.values(), (own, len(tokens), int(halves[0]), int(halves[1]), stars), strict=True):
                     column.append(value)
+            counts += np.bincount((np.concatenate(every) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             yield _profile_rows(rows, len(rows["id"]))
         if some:
             slices, cells = sliced(np.minimum(counts, 65535).astype(np.uint16))
@@ -384,7 +378,7 @@ def prefixes(df: DataFrame, key: str, text: str, order: Order) -> DataFrame:
     return _texts(df, key, text).where("id IS NOT NULL").mapInArrow(made, "id long, n long, prefix binary")
 
 
-def open_tokens(held: DataFrame, buckets: int) -> Bits:
+def open_tokens(held: DataFrame, buckets: int, log_bits: int) -> Bits:
     """Tokens (a few more at most) that documents of different groups have in their prefixes.
 
     ``held``: (prefix, comp). Each task sends every bucket one packed row for each batch: tokens, and for each the
@@ -416,7 +410,7 @@ def open_tokens(held: DataFrame, buckets: int) -> Bits:
             yield pa.RecordBatch.from_arrays([pa.array(tokens[low < high].view(np.int64))], ["token"])
 
     packed = held.select("prefix", "comp").mapInArrow(pack, "bucket int, tokens binary, low binary, width binary")
-    return Bits.of(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "token long"), 24)
+    return Bits.of(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "token long"), log_bits)
 
 
 def _spans(tokens: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -445,6 +439,48 @@ def open_postings(held: DataFrame, tokens: Bits) -> DataFrame:
     return held.select("id", "n", "prefix", "comp").mapInArrow(made, "token long, id long, comp long, n long, pos long")
 
 
+def meeting(postings: DataFrame) -> DataFrame:
+    """The postings without those whose token brings together no two documents of fitting sizes and places.
+
+    Needs no signatures, and leaves tokens of many documents to the trees.
+    """
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        out: list[tuple] = []
+        for _, group in groupby(rows(), key=lambda r: r[0]):
+            few = list(islice(group, SMALL + 1))
+            if len(few) > SMALL:
+                out += few
+                for row in group:
+                    out.append(row)
+                    if len(out) >= 10_000:
+                        yield _posting_rows(out)
+                        out = []
+                continue
+            meets = set()
+            for i, (_, _, comp, n, pos) in enumerate(few):
+                for j in range(i + 1, len(few)):
+                    _, _, other, m, at = few[j]
+                    if comp != other and 100 * min(n, m) >= PERCENT * max(n, m) and min(n - pos, m - at) >= overlap_needed(n, m):
+                        meets |= {i, j}
+            out += [few[i] for i in sorted(meets)]
+            if len(out) >= 10_000:
+                yield _posting_rows(out)
+                out = []
+        yield _posting_rows(out)
+
+    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(kept, "token long, id long, comp long, n long, pos long")
+
+
+def _posting_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "id", "comp", "n", "pos"])
+
+
 def signatures(sets: DataFrame) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -469,8 +505,7 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     centres = keyed.groupBy("star").agg(F.min("rep").alias("b"), F.count("*").alias("size")).where("size > 1").select("star", "b")
     pairs = stored(keyed.join(centres, "star").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "star-pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    sets = stored(sets_of(df, key, text, id_bits(ids)).join(nodes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "star-sets")
-    first = stored(verified(pairs, sets), "star-links")
+    first = stored(verified(pairs, sets_of(df, key, text, id_bits(ids))), "star-links")
     comps = stored(components(first), "star-groups")
 
     # round 2: signature trees over what the stars left open
@@ -478,10 +513,10 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     grouped = nodes.select(F.col("rep").alias("id")).distinct().join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
     held = stored(prefixes(df, key, text, order).join(grouped, "id"), "prefixes")
     total = held.agg(F.sum(F.length("prefix"))).first()[0] or 0
-    tokens = open_tokens(held, max(64, total // (8 * BUCKET_TOKENS)))
-    postings = stored(open_postings(held, tokens), "postings")
+    tokens = open_tokens(held, max(64, total // (8 * BUCKET_TOKENS)), min(MOST_BITS, max(20, (total // 8).bit_length())))
+    postings = stored(meeting(open_postings(held, tokens)), "postings")
     open_ids = postings.select("id").distinct()
-    sets = stored(sets_of(df, key, text, id_bits(open_ids)).join(open_ids, "id", "left_semi"), "open-sets")
+    sets = stored(sets_of(df, key, text, id_bits(open_ids)), "open-sets")
     pairs = stored(tree_pairs(postings.join(signatures(sets), "id")), "tree-pairs")
     second = stored(verified(pairs, sets), "tree-links")
 

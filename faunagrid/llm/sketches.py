@@ -46,15 +46,26 @@ def merged(rows: DataFrame, kind: str, combine: Callable[[np.ndarray, np.ndarray
     return out
 
 
+#: Bits that each hash sets: a few, so that false positives are the product of chances.
+PROBES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+
+
+def places(hashes: np.ndarray, log_bits: int) -> list[np.ndarray]:
+    return [(hashes * m) >> np.uint64(64 - log_bits) for m in PROBES]
+
+
 class Bits:
     """A set of 64-bit hashes, with false positives only."""
 
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits
+        self.log_bits = len(bits).bit_length() + 2
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes.astype(np.uint64) & np.uint64(len(self.bits) * 8 - 1)
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+        found = np.ones(len(hashes), bool)
+        for at in places(hashes.astype(np.uint64), self.log_bits):
+            found &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+        return found
 
     @classmethod
     def of(cls, hashes: DataFrame, log_bits: int = 23) -> Bits:
@@ -65,9 +76,10 @@ class Bits:
             bits = np.zeros(size, np.uint8)
             some = False
             for batch in batches:
-                at = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) & np.uint64(size * 8 - 1)
-                some |= at.size > 0
-                np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+                own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                some |= own.size > 0
+                for at in places(own, log_bits):
+                    np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
             if some:
                 slices, cells = sliced(bits)
                 yield pa.RecordBatch.from_pydict({"slice": pa.array(slices, pa.int32()), "cells": pa.array(cells, pa.binary())})
