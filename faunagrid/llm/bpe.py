@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pre-tokens that a worker remembers; then it starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 #: Longer pre-tokens are not remembered, and each has a queue of its own.
 CACHE_BYTES = 64
 #: Bytes of unknown pre-tokens that are encoded at a time.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
+#: Bytes of text, at about, that a worker encodes at a time.
+TEXT_BYTES = 8_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -263,12 +266,13 @@ class Codec:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        out, known = [], self.cache.get
-        for pieces in self.learn(texts):
+        out, split, known = [], self.learn(texts), self.cache.get
+        for i, pieces in enumerate(split):
             ids: list[int] = []
             for piece in pieces:
                 found = known(piece)
                 ids += self.encode_piece(piece.encode()) if found is None else found
+            split[i] = []  # no longer needed
             out.append(ids)
         return out
 
@@ -282,6 +286,18 @@ class Codec:
         return " ".join(map(self.names.__getitem__, ids))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches joined until they hold ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.nbytes for x in held) >= size:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One codec a worker process, kept between tasks."""
@@ -320,13 +336,14 @@ def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text
 
     def digests(batches):
         c = codec(path, pattern)
-        for batch in batches:
+        for part in gathered(batches, TEXT_BYTES):
             n, ids_hash, text_hash = [], [], []
-            for ids in c.encode_all(batch.column(1).to_pylist()):
+            for ids in c.encode_all(part.column(1).to_pylist()):
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(c.decimal(ids).encode()).hexdigest())
                 text_hash.append(hashlib.sha256(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+            made = pa.Table.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield from made.to_batches()
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     return rows.mapInArrow(digests, schema).withColumnRenamed("key", key)
