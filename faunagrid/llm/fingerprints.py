@@ -28,12 +28,10 @@ from xxhash import xxh3_64_intdigest
 from faunagrid.llm.storage import stored, table
 
 BINS = 128
-#: Hex digits of a bin in a fingerprint; an empty bin is all of this character.
-DIGITS, EMPTY = 4, "-"
 
 
-#: A bin that nothing has fallen into; other bins hold 16 bits.
-NONE = 1 << 16
+#: A bin that nothing has fallen into; others hold smaller numbers, of 16 bits too.
+NONE = (1 << 16) - 1
 
 
 def phrases(text: str, known: set[str]) -> tuple[list[str], str]:
@@ -53,14 +51,13 @@ def lowered(bins: np.ndarray, found: list[str]) -> np.ndarray:
     """The bins after the hashes of further phrases."""
     bins = bins.copy()
     hashes = np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found))
-    np.minimum.at(bins, (hashes & np.uint64(BINS - 1)).astype(np.int64), (hashes >> np.uint64(48)).astype(np.int64))
+    np.minimum.at(bins, (hashes & np.uint64(BINS - 1)).astype(np.int64), np.minimum((hashes >> np.uint64(48)).astype(np.int64), NONE - 1))
     return bins
 
 
-def written(bins: np.ndarray) -> str:
-    if (bins == NONE).all():
-        return ""
-    return "".join(EMPTY * DIGITS if x == NONE else f"{x:0{DIGITS}x}" for x in bins.tolist())
+def written(bins: np.ndarray) -> bytes:
+    """Two bytes a bin; nothing for the empty text."""
+    return b"" if (bins == NONE).all() else bins.astype(">u2").tobytes()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -77,7 +74,7 @@ def fingerprints(df: DataFrame, text: str = "text", into: str = "fingerprint") -
 
     @F.arrow_udf(T.StringType())
     def made(texts: pa.Array) -> pa.Array:
-        return pa.array((written(fingerprint(x or "")) for x in texts.to_pylist()), pa.string())
+        return pa.array((written(fingerprint(x or "")).hex() for x in texts.to_pylist()), pa.string())
 
     return df.withColumn(into, made(F.coalesce(F.col(text), F.lit(""))))
 
@@ -97,10 +94,10 @@ def compare(text: str, following: str) -> tuple[np.ndarray, tuple]:
     also = set(known)
     bins = lowered(common, phrases(rest + text[stays:], known)[0])
     other_bins = lowered(common, phrases(rest + other[stays:], also)[0])
-    return bins, (len(text), hashlib.sha256(other.encode()).hexdigest(), written(bins), written(other_bins), likeness(bins, other_bins))
+    return bins, (len(text), hashlib.sha256(other.encode()).digest(), written(bins), written(other_bins), likeness(bins, other_bins))
 
 
-FIELDS = [("id", T.LongType()), ("n_chars", T.LongType()), ("edited_sha256", T.StringType()), ("fingerprint", T.StringType()), ("edited_fingerprint", T.StringType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
+FIELDS = [("id", T.LongType()), ("n_chars", T.LongType()), ("edited_sha256", T.BinaryType()), ("fingerprint", T.BinaryType()), ("edited_fingerprint", T.BinaryType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
 ROWS = T.StructType([T.StructField(x, t) for x, t in FIELDS])
 #: What a range of ids yields: rows, and the texts of its first and its last document.
 ENDS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("text", T.StringType()), *ROWS.fields])
@@ -165,7 +162,9 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     order = spark.createDataFrame([*zip(parts, parts[1:] + parts[:1], strict=True)], "part int, follower int")
     pairs = tails.select("part", "id", "text").join(order, "part").join(heads.select(F.col("part").alias("follower"), F.col("text").alias("following")), "follower")
     ends = pairs.select("id", "text", "following").mapInArrow(compare_ends, ROWS)
-    return done.where(F.col("role") == "row").select(*ROWS.names).unionByName(ends).withColumn("id", F.col("id").cast(df.schema[key].dataType)).withColumnRenamed("id", key)
+    every = done.where(F.col("role") == "row").select(*ROWS.names).unionByName(ends)
+    texts = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
+    return every.withColumns(texts | {"id": F.col("id").cast(df.schema[key].dataType)}).withColumnRenamed("id", key)
 
 
 def op10_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
