@@ -31,6 +31,7 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 3
 FAN_OUT = 2
+SALTS = 8
 HASH = ["h1", "h2"]
 
 
@@ -130,7 +131,9 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars:
         runs.add(batch if cut is None else batch.where(F.col("doc") > cut))
         above = cut
     over = runs.verdicts().where(F.col("n_docs") >= min_docs).select(*HASH, "keeper")
-    lost = keys.join(over, HASH).where(F.col("doc") != F.col("keeper"))
+    # a line of very many documents is dealt to several tasks
+    over = over.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lost = keys.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).join(over, [*HASH, "salt"]).where(F.col("doc") != F.col("keeper"))
     return lost.groupBy("doc").agg(F.collect_set(F.struct(*HASH)).alias("drops"))
 
 
