@@ -79,10 +79,10 @@ class Store:
         self.spark, self.path = spark, path.rstrip("/")
 
     def occ(self) -> DataFrame:
-        return self.spark.read.schema(OCC).parquet(f"{self.path}/occ_h3")
+        return self.spark.read.schema(OCC).parquet(f"{self.path}/occ_h3").select(*OCC.names)
 
     def idx(self) -> DataFrame:
-        return self.spark.read.schema(IDX).parquet(f"{self.path}/idx_h3")
+        return self.spark.read.schema(IDX).parquet(f"{self.path}/idx_h3").select(*IDX.names)
 
 
 def _files(spark: SparkSession, path: str):
