@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pre-tokens that a worker remembers; then it starts anew.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 200_000
 #: Longer pre-tokens are not remembered, and each has a queue of its own.
 CACHE_BYTES = 64
 #: Bytes of unknown pre-tokens that are encoded at a time.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 #: Bytes of text, at about, that a worker encodes at a time.
-TEXT_BYTES = 8_000_000
+TEXT_BYTES = 6_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -240,13 +240,14 @@ class Codec:
         cuts = np.searchsorted(live, np.append(starts, n)).tolist()
         return [tuple(found[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def learn(self, texts: list[str]) -> list[list[str]]:
-        """Pre-tokens of each text; those that are short and unknown are encoded and remembered."""
-        split = [self.pieces(x) for x in texts]
-        unknown = {x for pieces in split for x in pieces if x not in self.cache}
+    def learn(self, texts: list[str]) -> None:
+        """Encodes and remembers the short pre-tokens of the texts that are not known yet."""
+        unknown: set[str] = set()
+        for text in texts:
+            unknown.update(self.pieces(text))
         if len(self.cache) + len(unknown) > CACHE_ENTRIES:
             self.cache.clear()
-            unknown = {x for pieces in split for x in pieces}
+        unknown.difference_update(self.cache)
         todo, data, held = [], [], 0
         for x in unknown:
             piece = x.encode()
@@ -260,21 +261,20 @@ class Codec:
                 todo, data, held = [], [], 0
         if todo:
             self.cache.update(zip(todo, self.encode_pieces(data), strict=True))
-        return split
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_all([text])[0]
+        return next(self.encode_all([text]))
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        out, split, known = [], self.learn(texts), self.cache.get
-        for i, pieces in enumerate(split):
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; only one text's pre-tokens are held at a time."""
+        self.learn(texts)
+        known = self.cache.get
+        for text in texts:
             ids: list[int] = []
-            for piece in pieces:
+            for piece in self.pieces(text):
                 found = known(piece)
                 ids += self.encode_piece(piece.encode()) if found is None else found
-            split[i] = []  # no longer needed
-            out.append(ids)
-        return out
+            yield ids
 
     def decode(self, ids: list[int]) -> bytes:
         try:
@@ -310,7 +310,7 @@ def encode_texts(df: DataFrame, path: str, pattern: str, text: str | Column = "t
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encoded(texts: pa.Array) -> pa.Array:
         c = codec(path, pattern)
-        return pa.array(c.encode_all(texts.to_pylist()), pa.list_(pa.int32()))
+        return pa.array(list(c.encode_all(texts.to_pylist())), pa.list_(pa.int32()))
 
     return df.withColumn(into, encoded(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))
 
@@ -344,6 +344,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text
                 text_hash.append(hashlib.sha256(c.decode(ids)).hexdigest())
             made = pa.Table.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
             yield from made.to_batches()
+        c.cache.clear()  # an idle worker keeps no more than the vocabulary
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     return rows.mapInArrow(digests, schema).withColumnRenamed("key", key)
