@@ -3,7 +3,7 @@
 Documents are counted by source and exact length. A source's target takes whole passes over
 the source first; the rest of the budget is fitted on the counts alone: a share of every
 length, then bounded-knapsack dynamic programming for what is left, over counts of lengths
-not yet taken. At last, of each source and length the wanted number of documents is selected
+not yet taken, whatever is left. At last, of each source and length the wanted number of documents is selected
 in a seeded order. The counts are bounded: different lengths of a source sum to its size at
 most, so there are fewer than sqrt(2 * size) of them.
 
@@ -28,8 +28,9 @@ SEED = 20240229
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
-#: Words up to which the dynamic program runs; what the shares leave is kept below by carrying it on.
-BUDGET = 1 << 16
+#: Words that the shares leave to the dynamic program at least, and lengths of the longest document.
+#: Besides, carrying on leaves less than one such length, which bounds the program's state.
+BUDGET, LONGEST = 1 << 15, 8
 #: Buckets of the seeded order; only one of each source and length is sorted.
 BUCKETS = 1 << 12
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,45 +63,56 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each size, at most ``counts``, sum to ``budget`` or as near below it as can be.
 
-    Bounded knapsack: ``first[s]`` is the item by which the sum s was reached first, so that
-    walking back by that item until an earlier one's sum gives the fewest copies of it.
+    Bounded knapsack over the bits of one whole number, in units of the greatest divisor common to
+    all sizes: ``first[s]`` is the item by which the sum s was reached first, so that walking back
+    by that item until an earlier one's sum gives the fewest copies of it.
     """
     taken = np.zeros(len(sizes), np.int64)
-    if budget <= 0 or not len(sizes):
+    usable = (sizes > 0) & (sizes <= budget) & (counts > 0)
+    if not usable.any():
         return taken
-    first = np.full(budget + 1, -1, np.int64)
-    reached = np.zeros(budget + 1, bool)
-    reached[0] = True
-    for i, (size, count) in enumerate(zip(sizes.tolist(), counts.tolist(), strict=True)):
-        if not 0 < size <= budget or not count:
-            continue
-        left = min(count, budget // size)
+    unit = int(np.gcd.reduce(sizes[usable]))
+    budget = min(budget, int((sizes * counts)[usable].sum())) // unit
+    first = np.full(budget + 1, -1, np.int32)
+    reached, below = 1, (1 << (budget + 1)) - 1
+    for i in np.flatnonzero(usable).tolist():
+        size = int(sizes[i]) // unit
+        left = min(int(counts[i]), budget // size)
         step = 1
         while left:  # copies in powers of two reach every number up to the count
             n = min(step, left)
-            new = np.zeros(budget + 1, bool)
-            new[n * size :] = reached[: budget + 1 - n * size]
-            new &= ~reached
-            first[new] = i
+            new = (reached << (n * size)) & below
+            new ^= new & reached
+            note(first, new, i)
             reached |= new
             left -= n
             step *= 2
-        if reached[budget]:
+        if reached >> budget:
             break
-    s = int(np.flatnonzero(reached)[-1])
+    s = reached.bit_length() - 1
     while s:
         i = int(first[s])
         taken[i] += 1
-        s -= int(sizes[i])
+        s -= int(sizes[i]) // unit
     return taken
 
 
+def note(first: np.ndarray, bits: int, item: int) -> None:
+    """Sets ``first`` to ``item`` at the places of ``bits``."""
+    held = np.frombuffer(bits.to_bytes((len(first) + 7) // 8, "little"), np.uint8)
+    at = np.flatnonzero(held)
+    for k in range(0, len(at), 1 << 16):
+        part = at[k : k + (1 << 16)]
+        row, bit = np.nonzero(np.unpackbits(held[part, None], axis=1, bitorder="little"))
+        first[part[row] * 8 + bit] = item
+
+
 def fit(sizes: np.ndarray, counts: np.ndarray, target: float) -> np.ndarray:
     """How many documents of each size to take in all, passes included, to come to ``target`` words."""
     total = int((sizes * counts).sum())
     whole = min(PASSES, int(target // total)) if total else 0
     goal = round(target) - whole * total
-    rest = min(BUDGET // 2, goal)  # kept for the dynamic program
+    rest = min(max(BUDGET, LONGEST * int(sizes.max(initial=0))), goal)  # kept for the dynamic program
     order = np.argsort(-sizes, kind="stable")
     s, c = sizes[order], counts[order]
     # the same share of every length, from the largest on; what one leaves below its size is carried on
@@ -110,8 +122,7 @@ def fit(sizes: np.ndarray, counts: np.ndarray, target: float) -> np.ndarray:
         if size:
             extra[k] = max(0, min(count, int((wanted[k] - got) // size)))
             got += int(extra[k]) * size
-    if goal - got <= BUDGET:  # else the shortest document is longer than that
-        extra += fill(s, c - extra, goal - got)
+    extra += fill(s, c - extra, goal - got)
     out = np.zeros(len(sizes), np.int64)
     out[order] = extra
     return whole * counts + out

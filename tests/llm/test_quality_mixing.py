@@ -64,6 +64,23 @@ def test_fit_keeps_its_bounds():
             assert target - (taken * sizes).sum() <= sizes.max()
 
 
+def test_fit_of_few_very_long_documents():
+    for sizes, target in (([200_000, 150_000, 100_000], 700_000), ([100_000, 101_000, 102_000, 103_000], 609_000), ([100_000, 60_000, 10_000], 120_000)):
+        counts = [1 + (s == 60_000) for s in sizes]
+        total = sum(s * c for s, c in zip(sizes, counts, strict=True))
+        got = int((mixing.fit(np.array(sizes), np.array(counts), target) * sizes).sum())
+        whole = target // total * total
+        assert got == target == whole + best_sum(sizes, counts, target - whole)
+    rng = random.Random(6)
+    for _ in range(50):
+        sizes = rng.sample(range(70_000, 3_000_000), rng.randrange(1, 8))
+        counts = [rng.randrange(1, 3) for _ in sizes]
+        goal = rng.randrange(sum(s * c for s, c in zip(sizes, counts, strict=True)))
+        got = int((mixing.fit(np.array(sizes), np.array(counts), goal) * sizes).sum())
+        best = best_sum(sizes, counts, goal)
+        assert got == best if goal <= 8 * max(sizes) else got <= best
+
+
 def water(sizes, weights, budget):
     """Targets by resharing the excess until none is above."""
     target, open_ = dict.fromkeys(sizes, 0.0), {k for k, s in sizes.items()}
