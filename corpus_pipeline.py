@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faunagrid.llm import bpe, lines, mixing, near, quality
-from faunagrid.llm.storage import drop_path, new_path, table
+from faunagrid.llm.storage import drop_path, new_path, stored, table
 
 #: No stage after the first can be told in SQL; tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
@@ -37,10 +37,11 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
-    mixed = mixing.mix(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.floor(F.col("taken") / F.col("size"))).cast("int").alias("_times"))
-    joined = docs.join(mixed, F.col("doc_id") == F.col("_id"))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    """Documents as often as the mix takes them: not at all, once or twice; rows without an id, or with equal ones, each for itself."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    times = F.floor(F.col("taken") / F.col("size")).cast("int")
+    mixed = mixing.mix(rows, row="_row").where("taken > 0").select("_row", times.alias("_times"))
+    return rows.join(mixed, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

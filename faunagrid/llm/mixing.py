@@ -139,9 +139,13 @@ def quotas(lengths: DataFrame) -> DataFrame:
     return lengths.groupBy("source").applyInPandas(one, "source string, size long, passes long, extra long")
 
 
-def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
-    """For each row of ``df``: key, size, source_size, target, and ``taken``, a whole number of times its size."""
-    docs = stored(df.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), words(text).alias("size")), "sizes")
+def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, row: str | None = None) -> DataFrame:
+    """For each row of ``df``: key, size, source_size, target, and ``taken``, a whole number of times its size.
+
+    ``row`` names a column that tells rows of equal keys apart; it is kept beside the others.
+    """
+    marks = [F.col(row).alias("_mark")] if row else []
+    docs = stored(df.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), words(text).alias("size"), *marks), "sizes")
     docs = docs.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(BUCKETS)))
     lengths = docs.groupBy("source", "size").agg(F.count("*").alias("n"))
     sizes = targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
@@ -154,9 +158,9 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     order = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("room", F.col("extra") - F.coalesce(F.sum("n").over(order), F.lit(0)))
     here = docs.alias("a").join(counted.alias("b"), same & (F.col("a.size") == F.col("b.size")) & (F.col("a.bucket") == F.col("b.bucket"))).select("a.*", "b.n", "b.passes", "b.room", "b.source_size", "b.target")
-    within = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id"))
+    within = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id", *(["_mark"] if row else [])))
     more = F.when(F.col("room") <= 0, 0).when(F.col("room") >= F.col("n"), 1).otherwise((within <= F.col("room")).cast("int"))
-    return here.withColumn("taken", F.col("size") * (F.col("passes") + more)).select(F.col("id").alias(key), "size", "source_size", "target", "taken")
+    return here.withColumn("taken", F.col("size") * (F.col("passes") + more)).select(F.col("id").alias(key), "size", "source_size", "target", "taken", *([F.col("_mark").alias(row)] if row else []))
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,18 @@ def test_mix_stage(steps):
     assert abs(sum(words(t) for _, t in pairs(steps[4])) - 1.5 * total) <= 0.05 * total
 
 
+def test_mix_stage_with_null_and_repeated_ids(spark):
+    source = lambda i: "abc"[i % 3]
+    rows = [(None if i % 3 == 1 else 7 if i % 5 == 0 else i, f"w{i} " * (1 + i % 23), "en", source(i), 0) for i in range(900)]
+    docs = spark.createDataFrame([*rows, (7, "", "en", "a", 0), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in corpus_pipeline.mix_sources(spark, docs, SF).collect()]
+    assert set(got) <= set(rows) and max(got.count(r) for r in set(got)) <= 2
+    assert any(r[0] is None for r in got) and any(r[0] == 7 for r in got)
+    targets = {r.source: r.target for r in mixing.mix(docs, key="source").select("source", "target").distinct().collect()}
+    for name in "abc":
+        assert abs(sum(len(r[1].split()) for r in got if r[3] == name) - targets[name]) <= 1
+
+
 def test_token_stage_and_run(spark, steps):
     codec = bpe.Codec(bpe.read_ranks(bpe.vocabulary()[0]), bpe.vocabulary()[1])
     expected = sorted((doc, len(codec.encode(text or ""))) for doc, text in pairs(steps[4]))
