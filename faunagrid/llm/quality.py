@@ -108,22 +108,39 @@ def calibrated(found: np.ndarray, labels: np.ndarray) -> list[float]:
     return w.tolist()
 
 
+def sampled(text: Column) -> Column:
+    """A text of up to FIT_CHARS code points, or as many of a longer one in pieces taken evenly from its start to its end."""
+    last = FIT_CHARS // PIECE - 1
+    start = lambda i: F.floor(i * (F.char_length(text) - PIECE) / last).cast("int") + 1
+    parts = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: F.substring(text, start(i), F.lit(PIECE)))
+    return F.when(F.char_length(text) <= FIT_CHARS, text).otherwise(F.concat_ws("", parts))
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = FIT_ROWS) -> Model:
+    """Dictionaries from samples of half of the labelled texts, calibrated on the whole texts of the other half."""
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL").where(~held_out("id"))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(rows)
-    texts = docs.select(F.col(key).alias("id"), F.substring(F.coalesce(F.col(text), F.lit("")), 1, FIT_CHARS).alias("text"))
-    found = texts.join(F.broadcast(chosen), "id").collect()  # bounded by rows * FIT_CHARS
+    texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    found = texts.withColumn("text", sampled(F.col("text"))).join(F.broadcast(chosen), "id").collect()  # bounded by rows * FIT_CHARS
     found.sort(key=lambda r: (hash_order(r.id), r.text))
-    y = np.array([r.label == 1 for r in found], float)
-    data = [r.text.encode() for r in found]
-    half = len(data) // 2
-    by = [[x for x, own in zip(data[:half], y[:half], strict=True) if own == side] for side in (1, 0)]
-    if not all(by) or len({*y[half:].tolist()}) < 2:
-        return Model(constant=float(y.mean()) if len(y) else 0.5)
+    half = {r.id for r in found[: len(found) // 2]}
+    by = [[r.text.encode() for r in found if r.id in half and (r.label == 1) == side] for side in (True, False)]
+    others = {r.id: r.label for r in found if r.id not in half}
+    if not all(by) or len({x == 1 for x in others.values()}) < 2:
+        return Model(constant=float(np.mean([r.label == 1 for r in found])) if found else 0.5)
     model = Model(dictionary(by[0]), dictionary(by[1]))
-    good, bad = model.compressors()
-    model.weights = calibrated(np.array([model.features(x, good, bad) for x in data[half:]]), y[half:])
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, bad = model.compressors()
+        for batch in batches:
+            pairs = [model.features(x, good, bad) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+            a, b = np.array(pairs, float).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(a), pa.array(b)], ["label", "a", "b"])
+
+    rest = docs.sparkSession.createDataFrame([*others.items()], chosen.schema)
+    whole = sorted(texts.join(F.broadcast(rest), "id").select("label", "text").mapInArrow(measured, "label int, a double, b double").collect())
+    model.weights = calibrated(np.array([(r.a, r.b) for r in whole]), np.array([r.label == 1 for r in whole], float))
     return model
 
 

@@ -32,6 +32,17 @@ def test_quality_edges(spark):
     assert all(0 <= r.score <= 1 for r in got) and quality.score(docs.where("false"), model).count() == 0
 
 
+def test_quality_learns_from_whole_texts(spark):
+    rng = random.Random(8)
+    words = lambda letters, n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    start = words("abcdefg", 4000)
+    rows = [(i, start + words("hijklmn" if i % 2 else "opqrstu", 6000)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS quality"))
+    found = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert min(x for i, x in found.items() if i % 2) > 0.5 > max(x for i, x in found.items() if not i % 2)
+
+
 def best_sum(sizes, counts, budget):
     sums = {0}
     for s, c in zip(sizes, counts, strict=True):
