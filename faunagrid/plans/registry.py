@@ -239,7 +239,7 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The indicator layer of occurrences binned by their own places."""
     base = stores.base_records(_occurrences(spark, sf_dir).drop("cell_id"))
-    return _even(stores.index_of(base, levels=(1, 2, 3, 7)).withColumn("res", F.col("res").cast("int")))
+    return _even(stores.index_of(base).withColumn("res", F.col("res").cast("int")))
 
 
 def _grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from faunagrid.plans import registry, tiles
 from faunagrid.plans.store import Store, base_records, build_store, publish, published
 from faunagrid.plans.tiles import TileRequest, checked_sql, decode_tile_url, h3j, serve, tile_query, tile_sql, tile_url
-from faunagrid.schema import IDX, INDICATORS, OCC
+from faunagrid.schema import IDX, INDEX_RES, INDICATORS, OCC
 
 from tests.oracle import SF_DIR
 
@@ -24,6 +24,10 @@ def test_layers(store):
     assert store.occ().schema == OCC and store.idx().schema == IDX
 
 
+def test_binned_index_has_all_levels(spark):
+    assert sorted(r.res for r in registry._binned(spark, SF_DIR).select("res").distinct().collect()) == [*INDEX_RES]
+
+
 def test_reading_one_resolution_prunes(store):
     plan = tile_query(store, TileRequest("sp"), 4)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(res" in plan
