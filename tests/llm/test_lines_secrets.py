@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -112,3 +113,20 @@ def test_digest(spark):
     df = spark.createDataFrame([(0, "a")], "doc_id long, text string")
     row = secrets.scan(df).select(F.sha2(secrets.listed(F.col("base")), 256).alias("d")).first()
     assert row.d == hashlib.sha256(b"").hexdigest()
+
+
+def test_scope_is_measured_between_the_nearer_ends(spark):
+    long = "https://x.example.com/" + "z" * 400
+    far = "x" + " " * 301
+    rows = [(1, long + " password=abcdef1"), (2, long + far + "password=abcdef1"), (3, "password=abcdef1 " + long), (4, "password=abcdef1" + far + long), (5, long + " " * 300 + "password=abcdef1")]
+    got = {r.doc_id: [s.kind for s in r.linked] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ["endpoint"], 2: [], 3: ["endpoint"], 4: [], 5: ["endpoint"]}
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = "user=bob1 token=abcdefg é " * 50_000
+    df = spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    got = secrets.scan(df).select("doc_id", F.size("base").alias("n"), F.size("linked").alias("m"), F.element_at("base", -1)["end"].alias("last")).collect()
+    assert [(r.n, r.m, r.last) for r in got] == [(50_000, 50_000, len(text) - 3)] * 3
+    assert time.perf_counter() - start < 60
