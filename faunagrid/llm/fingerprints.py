@@ -8,8 +8,9 @@ The likeness of two fingerprints is the share of equal bins among those that eit
 
 Defined cases: a null text counts as empty; the empty text has an empty fingerprint, whose
 likeness is 1 to itself and 0 to any other; equal texts have equal fingerprints; rows with a
-null id come first in the order; equal ids are ordered by text; the single row of a table is
-its own next; other columns are not read.
+null id come first in the order; equal ids are ordered by a hash of the text, then the text; the
+single row of a table is its own next; ids are of any type that Spark can order; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ from faunagrid.llm.storage import stored, table
 BINS = 128
 
 
-#: A bin that nothing has fallen into; others hold smaller numbers, of 16 bits too.
-NONE = (1 << 16) - 1
+#: A bin that nothing has fallen into; others hold smaller numbers, of 32 bits too: the smallest of the
+#: hashes of a bin comes near 0 only with some 10^9 phrases, so that likeness does not depend on length.
+NONE = (1 << 32) - 1
 
 
 def phrases(text: str, known: set[str]) -> tuple[list[str], str]:
@@ -51,13 +53,13 @@ def lowered(bins: np.ndarray, found: list[str]) -> np.ndarray:
     """The bins after the hashes of further phrases."""
     bins = bins.copy()
     hashes = np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found))
-    np.minimum.at(bins, (hashes & np.uint64(BINS - 1)).astype(np.int64), np.minimum((hashes >> np.uint64(48)).astype(np.int64), NONE - 1))
+    np.minimum.at(bins, (hashes & np.uint64(BINS - 1)).astype(np.int64), np.minimum((hashes >> np.uint64(32)).astype(np.int64), NONE - 1))
     return bins
 
 
 def written(bins: np.ndarray) -> bytes:
-    """Two bytes a bin; nothing for the empty text."""
-    return b"" if (bins == NONE).all() else bins.astype(">u2").tobytes()
+    """Four bytes a bin; nothing for the empty text."""
+    return b"" if (bins == NONE).all() else bins.astype(">u4").tobytes()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -97,10 +99,16 @@ def compare(text: str, following: str) -> tuple[np.ndarray, tuple]:
     return bins, (len(text), hashlib.sha256(other.encode()).digest(), written(bins), written(other_bins), likeness(bins, other_bins))
 
 
-FIELDS = [("id", T.LongType()), ("n_chars", T.LongType()), ("edited_sha256", T.BinaryType()), ("fingerprint", T.BinaryType()), ("edited_fingerprint", T.BinaryType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
-ROWS = T.StructType([T.StructField(x, t) for x, t in FIELDS])
-#: What a range of ids yields: rows, and the texts of its first and its last document.
-ENDS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("text", T.StringType()), *ROWS.fields])
+FIELDS = [("n_chars", T.LongType()), ("edited_sha256", T.BinaryType()), ("fingerprint", T.BinaryType()), ("edited_fingerprint", T.BinaryType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
+
+
+def rows_schema(key: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(x, t) for x, t in [("id", key), *FIELDS]])
+
+
+def ends_schema(key: T.DataType) -> T.StructType:
+    """What a range of ids yields: rows, and the texts of its first and its last document."""
+    return T.StructType([T.StructField("part", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("text", T.StringType()), *rows_schema(key).fields])
 
 
 def batches_of(rows: list[tuple], schema: T.StructType, size: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -112,7 +120,7 @@ def batches_of(rows: list[tuple], schema: T.StructType, size: int = 1000) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
 
-def compare_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compare_in_order(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator[pa.RecordBatch]:
     """Rows of one range, in order; the last waits for the first document of the next range."""
     part = TaskContext.get().partitionId()
     out: list[tuple] = []
@@ -120,7 +128,7 @@ def compare_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     waiting = None  # its predecessor's row, which lacks only near_next
     first = None
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             if held is None:
                 first = text
             else:
@@ -129,42 +137,48 @@ def compare_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     out.append((part, "row", None, *waiting[0], likeness(waiting[1], bins)))
                 waiting = ((held[0], *row), bins)
             held = key, text
-        yield from batches_of(out, ENDS)
+        yield from batches_of(out, schema)
         out = []
     if held:
         if waiting:
             out.append((part, "row", None, *waiting[0], likeness(waiting[1], fingerprint(held[1]))))
-        nothing = (None,) * (len(FIELDS) - 1)
+        nothing = (None,) * len(FIELDS)
         out += [(part, "head", first, None, *nothing), (part, "tail", held[1], held[0], *nothing)]
-        yield from batches_of(out, ENDS)
+        yield from batches_of(out, schema)
 
 
-def compare_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compare_ends(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for key, text, following in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             bins, row = compare(text, following)
             out.append((key, *row, likeness(bins, fingerprint(following))))
-        yield from batches_of(out, ROWS)
+        yield from batches_of(out, schema)
 
 
 def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document against its edited text and against the next document in the order of ``key``.
 
     Documents are dealt once, by ranges of the key, and each range is read in order. A range's
-    last document meets the first of the next range that has any in a join of the two ends.
+    last document meets the first of the next range that has any in a join of the two ends. A key
+    that very many rows share is dealt by their texts' hashes, and equal texts of it, whose order
+    makes no difference, by their places in the input.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    done = stored(rows.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(compare_in_order, ENDS), "fingerprints")
+    kind = df.schema[key].dataType
+    ends, plain = ends_schema(kind), rows_schema(kind)
+    rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("spread", F.xxhash64(F.monotonically_increasing_id()))
+    ranges = rows.repartitionByRange("id", "hash", "spread").sortWithinPartitions("id", "hash", "text").select("id", "text")
+    done = stored(ranges.mapInArrow(lambda batches: compare_in_order(batches, ends), ends), "fingerprints")
     heads, tails = (done.where(F.col("role") == role) for role in ("head", "tail"))
     parts = sorted(x.part for x in heads.select("part").collect())  # at most the number of partitions
     order = spark.createDataFrame([*zip(parts, parts[1:] + parts[:1], strict=True)], "part int, follower int")
     pairs = tails.select("part", "id", "text").join(order, "part").join(heads.select(F.col("part").alias("follower"), F.col("text").alias("following")), "follower")
-    ends = pairs.select("id", "text", "following").mapInArrow(compare_ends, ROWS)
-    every = done.where(F.col("role") == "row").select(*ROWS.names).unionByName(ends)
+    last = pairs.select("id", "text", "following").mapInArrow(lambda batches: compare_ends(batches, plain), plain)
+    every = done.where(F.col("role") == "row").select(*plain.names).unionByName(last)
     texts = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
-    return every.withColumns(texts | {"id": F.col("id").cast(df.schema[key].dataType)}).withColumnRenamed("id", key)
+    return every.withColumns(texts).withColumnRenamed("id", key)
 
 
 def op10_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

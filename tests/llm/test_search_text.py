@@ -106,6 +106,23 @@ def test_fingerprints_by_hand(spark):
     assert fingerprints.fingerprints(df, into="f").where("doc_id = 7").first().f == got[7].fingerprint
 
 
+def test_fingerprints_of_text_ids_and_of_one_id_in_all_rows(spark):
+    df = spark.createDataFrame([("b", "one text"), ("a", "another text"), (None, "x"), ("c", "one text")], "doc_id string, text string")
+    got = {r.doc_id: r for r in fingerprints.with_next(df).collect()}
+    assert {*got} == {"a", "b", "c", None} and got["b"].near_next == 1.0 and got["a"].near_next < 1.0
+    same = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 3).cast("string")).alias("text"))
+    rows = fingerprints.with_next(same).collect()
+    assert len(rows) == 400 and all(r.doc_id is None for r in rows)
+    assert sum(r.near_next < 1 for r in rows) == 3  # equal texts stand together, so that only the last of each differs from its next
+
+
+def test_long_texts_of_no_common_phrase_are_unlike():
+    rng = np.random.default_rng(4)
+    none = np.full(fingerprints.BINS, fingerprints.NONE, np.int64)
+    hashes = [rng.integers(0, 1 << 62, 2_000_000).astype(str).tolist() for _ in range(2)]
+    assert fingerprints.likeness(*(fingerprints.lowered(none, x) for x in hashes)) == 0.0
+
+
 def test_edited_texts_are_nearer_than_others(spark):
     got = fingerprints.op10_lz_fingerprints(spark, "/root/testdata/sf0.001").toPandas()
     assert len(got) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
