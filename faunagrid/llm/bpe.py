@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faunagrid.llm.storage import arrow_map, table
+
 #: Pre-tokens that a worker remembers; then it starts anew.
 CACHE_ENTRIES = 200_000
 #: Longer pre-tokens are not remembered, and each has a queue of its own.
@@ -347,7 +349,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text
         c.cache.clear()  # an idle worker keeps no more than the vocabulary
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-    return rows.mapInArrow(digests, schema).withColumnRenamed("key", key)
+    return arrow_map(rows, digests, schema).withColumnRenamed("key", key)
 
 
 def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -358,6 +360,4 @@ def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from faunagrid.llm.storage import table
-
     return round_trip(table(spark, sf_dir, "documents"), *vocabulary())

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faunagrid.llm.storage import table
+from faunagrid.llm.storage import arrow_map, table
 
 #: What is left out whole; what makes a block; what is never closed.
 DROPPED = "script style head title noscript template iframe svg select textarea button object math canvas audio video"
@@ -250,7 +250,7 @@ def extract(df: DataFrame, page: str = "html") -> DataFrame:
             found = [main_text(x or "") for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], [*batch.schema.names, "text", "n_chars"])
 
-    return df.mapInArrow(texts, T.StructType([*df.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+    return arrow_map(df, texts, T.StructType([*df.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
 
 
 def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

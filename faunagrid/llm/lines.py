@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faunagrid.llm.storage import drop_path, new_path, stored, table
+from faunagrid.llm.storage import arrow_map, drop_path, new_path, stored, table
 
 WHITE = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 20
@@ -67,7 +67,7 @@ def key_table(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(halves[:, 0]), pa.array(halves[:, 1])], ["doc", *HASH])
 
     rows = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInArrow(keys, "doc long, h1 long, h2 long")
+    return arrow_map(rows, keys, "doc long, h1 long, h2 long")
 
 
 class LineRuns:
@@ -168,7 +168,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_char
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*batch.schema.names[:last], *made])
 
     schema = T.StructType([*df.schema.fields, T.StructField(made[0], T.LongType()), T.StructField(made[1], T.LongType()), T.StructField(made[2], T.StringType())])
-    return joined.mapInArrow(cut, schema)
+    return arrow_map(joined, cut, schema)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faunagrid.llm.storage import stored, table
+from faunagrid.llm.storage import arrow_map, stored, table
 
 KEY = b"surrogate key; keep it out of the corpus"
 #: Entities with a later attempt that travel with the tasks; beyond, they are joined by document.
@@ -219,7 +219,7 @@ def mentions(df: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())], ["body", "kind", "entity"])
 
     rows = df.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("body"), F.col(text).alias("text"))
-    return rows.mapInArrow(found, "body long, kind string, entity string")
+    return arrow_map(rows, found, "body long, kind string, entity string")
 
 
 def later_attempts(found: DataFrame, key: bytes = KEY) -> DataFrame:
@@ -270,7 +270,7 @@ def pseudonymise(df: DataFrame, text: str = "text", key: bytes = KEY) -> DataFra
             columns[at] = pa.array([x for x, _ in made], pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in made], pa.int64())], [*names, "n_entities"])
 
-    return joined.mapInArrow(write, T.StructType([*df.schema.fields, T.StructField("n_entities", T.LongType())]))
+    return arrow_map(joined, write, T.StructType([*df.schema.fields, T.StructField("n_entities", T.LongType())]))
 
 
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

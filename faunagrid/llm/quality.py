@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faunagrid.llm.storage import table
+from faunagrid.llm.storage import arrow_map, table
 
 FIT_ROWS = 6000
 FIT_CHARS = 20_000
@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(a), pa.array(b)], ["label", "a", "b"])
 
     rest = docs.sparkSession.createDataFrame([*others.items()], chosen.schema)
-    whole = sorted(texts.join(F.broadcast(rest), "id").select("label", "text").mapInArrow(measured, "label int, a double, b double").collect())
+    whole = sorted(arrow_map(texts.join(F.broadcast(rest), "id").select("label", "text"), measured, "label int, a double, b double").collect())
     model.weights = calibrated(np.array([(r.a, r.b) for r in whole]), np.array([r.label == 1 for r in whole], float))
     return model
 
@@ -161,7 +161,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             texts = [x or b"" for x in batch.column(at).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(texts), pa.float64())], [*batch.schema.names, "score"])
 
-    return df.mapInArrow(scored, T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())]))
+    return arrow_map(df, scored, T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
