@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faunagrid.llm.storage import stored
+from faunagrid.llm.storage import dropped, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = stored(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        current = stored(small.where("a <> b").distinct(), "small-star")
+        last, current = current, stored(small.where("a <> b").distinct(), "small-star")
+        dropped(last, large)
         now = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -1,29 +1,34 @@
 """N-gram Jaccard join with signature trees, and the groups of near copies it links.
 
 A document's set holds the 64-bit hashes of its different shingles. Equal sets are one node
-from the start. The join is exact and has two rounds, each of which verifies its candidates
-on whole sets:
-
-1. Stars. Documents that agree in one of a few combinations of minimum hashes are paired with
-   the smallest of them. This links most of every large group without its pairs.
-2. Signature trees. By the prefix filter, two sets can only reach the threshold if they share
-   one of their first tokens in a common order, here rare tokens first (by a count sketch of
-   fixed size; any order is right, a rarer one is faster). Tokens whose documents are all linked
-   already are done. For each other token, its documents form blocks; a block is a tree, whose
-   nodes hold the OR of their documents' bitmaps, the range of set sizes and the largest
-   number of tokens hidden by shared bits. Two trees are traversed together, and a pair of nodes is
-   left as soon as the largest possible overlap is too small, the sizes are too far apart, or
-   both hold one linked group only.
+from the start. A signature tree holds in its leaves documents of like size, and in its nodes the
+OR of their bitmaps, the range of set sizes and the largest number of tokens hidden by shared
+bits. Trees are traversed together, and a pair of nodes is left as soon as the largest possible
+overlap is too small, the sizes are too far apart, or both hold one linked group only. What
+traversals find is verified on whole sets. Trees are built over documents that share a key, three times:
+
+1. Keys are a few combinations of minimum hashes. Only leaders, the smallest documents that no
+   other has taken, are looked up in the tree, so that a large group is linked without its pairs.
+2. Keys are prefix tokens: by the prefix filter, two sets can only reach the threshold if they share
+   one of their first tokens in a common order, here rare tokens first (by a count sketch; any
+   order is right, a rarer one is faster). Tokens whose documents are all linked already are done.
+   Again leaders are looked up.
+3. The same keys, as far as they are still open, and every document is looked up: this makes the join exact.
+
+A key of many documents is dealt to blocks, of one linked group each where that has enough of them,
+and trees of blocks that hold the same group only are not brought together.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a
 text of fewer words than a shingle has its whole sequence as the only one; a null id has no
 component; rows with equal ids and different texts are different sets of one node when that id
-is the smallest of both, else separate; other columns are not read by ``link``.
+is the smallest of both, else separate; ids of other types than whole numbers are numbered in their
+order first; other columns are not read by ``link``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby, islice
 
 import numpy as np
@@ -33,24 +38,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faunagrid.llm.components import components
-from faunagrid.llm.sketches import Bits, merged, sliced
-from faunagrid.llm.storage import stored, table
+from faunagrid.llm.sketches import Bits, log_bits_for, merged, sliced
+from faunagrid.llm.storage import arrow_map, dropped, stored, table, with_long
 
 WORDS = 5
 #: The threshold as a fraction: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Minimum hashes per star key, and keys.
-STAR_ROWS, STAR_KEYS = 3, 6
-CELLS = 1 << 21
-#: Documents of one token in one tree.
+STAR_ROWS, STAR_KEYS = 3, 5
+#: Logarithms of the least and the most cells of the count sketch, which grows with the text. Beyond the most, a task would
+#: send more than 4 MB; the order then tells tokens apart only if they are in more documents than others of a cell together.
+LEAST_CELLS, MOST_CELLS = 12, 21
+#: Documents of one key in one tree.
 BLOCK = 1024
 LEAF = 8
-#: Documents of one token that are compared by size and place alone before signatures are made.
+#: Documents of one token that are compared by size and place alone before trees are built.
 SMALL = 64
 #: Sets verified against one at a time by one task.
 VERIFY = 256
-#: Logarithm of the most bits that tell open tokens (64 MB); fewer for fewer tokens.
-MOST_BITS = 29
+#: Logarithm of the most bits that travel with tasks (16 MB); sets of more hashes are joined instead.
+MOST_BITS = 27
 #: Prefix tokens, at about, that one bucket gathers.
 BUCKET_TOKENS = 1_000_000
 
@@ -103,28 +110,24 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 # --- profiles: one pass over the texts ---
 
-PROFILE = "id long, n long, k1 long, k2 long, stars array<long>, slice int, cells binary"
-
-
-def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+PROFILE = "id long, n long, k1 long, k2 long, stars array<long>, words binary, slice int, cells binary"
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    for own, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-        yield own, shingles(text or b"")
+    for own, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+        yield own, shingles(text.as_buffer().to_pybytes() if text.is_valid else b"")
 
 
-def profiles(df: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per document: size, digest of the set and star keys; and each task's slices of the count sketch."""
+def profiles(docs: DataFrame, log_cells: int) -> DataFrame:
+    """A row per document: size, digest and signature of the set, and star keys; and each task's slices of the count sketch."""
+    size = 1 << log_cells
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(size, np.uint32)
         multipliers = _MIX[16 : 16 + STAR_ROWS * STAR_KEYS]
         some = False
         for batch in batches:
-            rows: dict[str, list] = {"id": [], "n": [], "k1": [], "k2": [], "stars": []}
-            every = [np.empty(0, np.uint64)]
+            rows: dict[str, list] = {"id": [], "n": [], "k1": [], "k2": [], "stars": [], "words": []}
             for own, tokens in _sets(batch):
                 stars: list[int] = []
                 digest = b"\0" * 16
@@ -132,28 +135,30 @@ def profiles(df: DataFrame, key: str, text: str) -> DataFrame:
                     least = np.array([(tokens * m).min() for m in multipliers] if len(tokens) > 5000 else (tokens[None, :] * multipliers[:, None]).min(1)).reshape(STAR_KEYS, STAR_ROWS)
                     stars = mixed((least * _MIX[8 : 8 + STAR_ROWS]).sum(1, dtype=np.uint64) + np.arange(STAR_KEYS, dtype=np.uint64)).view(np.int64).tolist()
                     digest = xxhash.xxh3_128_digest(tokens.tobytes())
-                    every.append(tokens)
+                    np.add.at(counts, (tokens & np.uint64(size - 1)).astype(np.int64), np.uint32(1))
                     some = True
                 halves = np.frombuffer(digest, "<i8")
-                for column, value in zip(rows.values(), (own, len(tokens), int(halves[0]), int(halves[1]), stars), strict=True):
+                for column, value in zip(rows.values(), (own, len(tokens), int(halves[0]), int(halves[1]), stars, bitmap(tokens).tobytes()), strict=True):
                     column.append(value)
-            counts += np.bincount((np.concatenate(every) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             yield _profile_rows(rows, len(rows["id"]))
         if some:
             slices, cells = sliced(np.minimum(counts, 65535).astype(np.uint16))
             yield _sketch_rows(slices, cells)
 
-    return _texts(df, key, text).mapInArrow(profile, PROFILE)
+    return arrow_map(docs, profile, PROFILE)
+
+
+_PROFILE = ["id", "n", "k1", "k2", "stars", "words", "slice", "cells"]
 
 
 def _profile_rows(rows: dict[str, list], n: int) -> pa.RecordBatch:
     longs = [pa.array(rows[c], pa.int64()) for c in ("id", "n", "k1", "k2")]
-    return pa.RecordBatch.from_arrays([*longs, pa.array(rows["stars"], pa.list_(pa.int64())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["id", "n", "k1", "k2", "stars", "slice", "cells"])
+    return pa.RecordBatch.from_arrays([*longs, pa.array(rows["stars"], pa.list_(pa.int64())), pa.array(rows["words"], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], _PROFILE)
 
 
 def _sketch_rows(slices: list[int], cells: list[bytes]) -> pa.RecordBatch:
     n = len(slices)
-    return pa.RecordBatch.from_arrays([*(pa.nulls(n, pa.int64()) for _ in range(4)), pa.nulls(n, pa.list_(pa.int64())), pa.array(slices, pa.int32()), pa.array(cells, pa.binary())], ["id", "n", "k1", "k2", "stars", "slice", "cells"])
+    return pa.RecordBatch.from_arrays([*(pa.nulls(n, pa.int64()) for _ in range(4)), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.binary()), pa.array(slices, pa.int32()), pa.array(cells, pa.binary())], _PROFILE)
 
 
 class Order:
@@ -161,38 +166,48 @@ class Order:
 
     def __init__(self, counts: np.ndarray) -> None:
         self.classes = np.round(2 * np.log2(counts + 1.0)).astype(np.uint8)
+        self.last = np.uint64(len(counts) - 1)
 
     def prefix(self, tokens: np.ndarray) -> np.ndarray:
         n = prefix_length(len(tokens))
-        classes = self.classes[(tokens & np.uint64(CELLS - 1)).astype(np.int64)]
+        classes = self.classes[(tokens & self.last).astype(np.int64)]
         return tokens[np.argsort(classes, kind="stable")[:n]]  # tokens ascend, so ties go by hash
 
 
 # --- verification on whole sets ---
 
 
-def sets_of(df: DataFrame, key: str, text: str, wanted: Bits) -> DataFrame:
-    """(id, set) of the documents whose ids may be wanted."""
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, tokens) of the documents whose ids are in ``ids`` (stored; a column id), and perhaps of a few more.
+
+    The ids travel as bits with the tasks; if they are too many for that, the documents are joined with them.
+    """
+    known = docs.where("id IS NOT NULL").select("id", "text")
+    log_bits = log_bits_for(ids.count())
+    wanted = None
+    if log_bits <= MOST_BITS:
+        wanted = Bits.of(ids.select(F.xxhash64("id")), log_bits, _longs)
+        known = known.withColumn("hash", F.xxhash64("id"))
+    else:
+        known = known.join(ids.select("id").distinct().hint("merge"), "id", "left_semi")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            batch = batch.filter(pa.array(wanted.has(mixed(ids.view(np.uint64)))))
+            if wanted:
+                batch = batch.filter(pa.array(wanted.has(_numbers(batch.column("hash")))))
             found = [(own, x.tobytes()) for own, x in _sets(batch)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], ["id", "tokens"])
 
-    return _texts(df, key, text).where("id IS NOT NULL").mapInArrow(made, "id long, tokens binary")
+    return arrow_map(known, made, "id long, tokens binary")
 
 
-def id_bits(ids: DataFrame) -> Bits:
-    """Bits over the mixed ids of a one-column DataFrame."""
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
-    def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(mixed(own.view(np.uint64)).view(np.int64))], ["hash"])
 
-    return Bits.of(ids.toDF("id").mapInArrow(mix, "hash long"))
+def _longs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        yield _numbers(batch.column(0))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -217,7 +232,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     out.append((own, b))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
 
-    return held.mapInArrow(check, "a long, b long")
+    return arrow_map(held, check, "a long, b long")
 
 
 # --- signature trees ---
@@ -238,23 +253,34 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
 
 
 class Member:
-    __slots__ = ("comp", "id", "n", "pos", "words")
+    __slots__ = ("comp", "hidden", "id", "n", "pos", "words")
 
     def __init__(self, own: int, comp: int, n: int, pos: int, words: np.ndarray) -> None:
         self.id, self.comp, self.n, self.pos, self.words = own, comp, n, pos, words
+        self.hidden = n - int(np.bitwise_count(words).sum())  # tokens that share a bit with others
 
 
-def most_shared(a: np.ndarray, b: np.ndarray, n: int, m: int) -> int:
-    """Largest possible overlap of sets of n and m tokens by their signatures.
+def most_shared(x: Member, y: Member) -> int:
+    """Largest possible overlap of two sets by their signatures.
 
     Shared tokens stand on bits that both have set; at most as many more of either as share a bit.
     """
-    length = min(len(a), len(b))
-    a, b = folded(a, length), folded(b, length)
-    hidden = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
+    if len(x.words) == len(y.words):
+        return int(np.bitwise_count(x.words & y.words).sum()) + max(0, min(x.hidden, y.hidden))
+    length = min(len(x.words), len(y.words))
+    a, b = folded(x.words, length), folded(y.words, length)
+    hidden = min(x.n - int(np.bitwise_count(a).sum()), y.n - int(np.bitwise_count(b).sum()))
     return int(np.bitwise_count(a & b).sum()) + max(0, hidden)
 
 
+def may_be_alike(x: Member, y: Member) -> bool:
+    n, m = x.n, y.n
+    if x.comp == y.comp or 100 * min(n, m) < PERCENT * max(n, m):
+        return False
+    needed = overlap_needed(n, m)
+    return min(n - x.pos, m - y.pos) >= needed and most_shared(x, y) >= needed
+
+
 class Node:
     """The OR of the signatures below, with the ranges of sizes, places and hidden tokens."""
 
@@ -277,7 +303,7 @@ class Node:
 
     def narrow(self, length: int) -> tuple[np.ndarray, int]:
         """The signature folded, and the most tokens that it hides in any one document below."""
-        hidden = max(x.narrow(length)[1] for x in self.below) if self.below else max(x.n - int(np.bitwise_count(folded(x.words, length)).sum()) for x in self.members)
+        hidden = max(x.narrow(length)[1] for x in self.below) if self.below else max(x.hidden if len(x.words) == length else x.n - int(np.bitwise_count(folded(x.words, length)).sum()) for x in self.members)
         return folded(self.words, length), hidden
 
 
@@ -312,11 +338,7 @@ def candidates(a: Node, b: Node) -> Iterator[tuple[int, int]]:
         if a.members and b.members:
             for i, x in enumerate(a.members):
                 for y in a.members[i + 1 :] if a is b else b.members:
-                    n, m = x.n, y.n
-                    if x.comp == y.comp or 100 * min(n, m) < PERCENT * max(n, m):
-                        continue
-                    needed = overlap_needed(n, m)
-                    if min(n - x.pos, m - y.pos) >= needed and most_shared(x.words, y.words, n, m) >= needed:
+                    if may_be_alike(x, y):
                         yield (x.id, y.id) if x.id > y.id else (y.id, x.id)
         elif a is b:
             parts = a.below
@@ -327,47 +349,108 @@ def candidates(a: Node, b: Node) -> Iterator[tuple[int, int]]:
             stack += [(a, x) for x in b.below]
 
 
-def tree_pairs(postings: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) from postings (token, id, comp, n, pos, words)."""
-    blocks = postings.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 0")
-    placed = postings.join(blocks, "token").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # a block meets itself and every other: (i, j) with i <= j
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp", "n", "pos", "words")
-    dealt = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+def lookup(root: Node, member: Member) -> Iterator[Member]:
+    """What of a tree may be alike with a document, by traversing the tree with the tree of that one."""
+    own = Node([member], [])
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.members:
+            yield from (x for x in node.members if may_be_alike(x, member))
+        elif possible(node, own):
+            stack += node.below
+
+
+def led(members: list[Member], others: list[Member] | None = None) -> Iterator[tuple[int, int]]:
+    """Pairs (document, leader): each document of smallest id that none has taken leads those that may be alike with it.
+
+    Leaders are of ``members``, and look in the tree of ``others``, or of the members themselves.
+    """
+    root = tree(members if others is None else others)
+    taken: set[int] = set()
+    for leader in sorted(members, key=lambda x: x.id):
+        if leader.id not in taken:
+            for x in lookup(root, leader):
+                if x.id not in taken:
+                    taken.add(x.id)
+                    yield x.id, leader.id
+
+
+def star_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) to verify of documents that share a star key, from nodes (rep, n, words, stars)."""
+    keyed = nodes.select("rep", F.explode("stars").alias("star"))
+    sizes = keyed.groupBy("star").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1")
+    sizes = sizes.select("star", "least", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    dealt = keyed.join(sizes, "star").select("rep", "star", F.when(F.col("rep") != F.col("least"), F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).alias("part"), "parts")
+    # the smallest document of a key is in all its parts, so that it leads in each
+    dealt = dealt.select("rep", "star", F.explode(F.when(F.col("part").isNotNull(), F.array("part")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))).alias("part"))
+    dealt = dealt.join(nodes.select("rep", "n", "words"), "rep").repartition("star", "part").sortWithinPartitions("star", "part")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-        out: set[tuple[int, int]] = set()
-        for (_, i, j), group in groupby(rows(), key=lambda r: r[:3]):
-            sides: tuple[list[Member], list[Member]] = ([], [])
-            for _, _, _, own, doc, comp, n, pos, words in group:
-                sides[own != i].append(Member(doc, comp, n, pos, np.frombuffer(words, np.uint64)))
-            if i == j:
-                if len(sides[0]) > 1:
+        def pairs() -> Iterator[tuple[int, int]]:
+            for _, group in groupby(_rows(batches, "star", "part", "rep", "n", "words"), key=lambda r: r[:2]):
+                yield from led([Member(rep, rep, n, 0, np.frombuffer(words, np.uint64)) for _, _, rep, n, words in group])
+
+        yield from _pair_rows(pairs())
+
+    return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
+
+
+def token_pairs(postings: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) to verify from postings (token, id, comp, n, pos): those of leaders, or ``every`` one that may be alike."""
+    of = postings.groupBy("token", "comp").agg(F.count("*").alias("size"))
+    own = of.where(F.col("size") >= BLOCK).select("token", "comp", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    pool = of.where(F.col("size") < BLOCK).groupBy("token").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("pooled"))
+    label = F.xxhash64("owner", "part")
+    blocks = own.select("token", F.col("comp").alias("owner"), "parts").unionByName(pool.select("token", F.lit(None).cast("long").alias("owner"), F.col("pooled").alias("parts")))
+    blocks = blocks.select("token", "owner", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("token", "owner", label.alias("block"))
+    # a block meets itself and every other, but for those of the same group alone
+    apart = ~F.coalesce(F.col("x.owner") == F.col("y.owner"), F.lit(False))
+    met = blocks.alias("x").join(blocks.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.block") <= F.col("y.block")) & apart).select("x.token", F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+    sides = met.select("token", F.col("i").alias("block"), "i", "j").unionByName(met.where("i <> j").select("token", F.col("j").alias("block"), "i", "j"))
+    placed = postings.join(own, ["token", "comp"], "left").join(pool, "token", "left")
+    placed = placed.withColumn("owner", F.when(F.col("parts").isNotNull(), F.col("comp"))).withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", "pooled")).cast("int"))
+    placed = placed.select("token", "id", "comp", "n", "pos", label.alias("block")).join(sides, ["token", "block"])
+    dealt = placed.join(nodes.select(F.col("rep").alias("id"), "words"), "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[tuple[int, int]]:
+            for (_, i, j), group in groupby(_rows(batches, "token", "i", "j", "block", "id", "comp", "n", "pos", "words"), key=lambda r: r[:3]):
+                sides: tuple[list[Member], list[Member]] = ([], [])
+                for _, _, _, block, own, comp, n, pos, words in group:
+                    sides[block != i].append(Member(own, comp, n, pos, np.frombuffer(words, np.uint64)))
+                if not every:
+                    if sides[0] and (i == j or sides[1]):
+                        yield from led(sides[0], sides[1] if i != j else None)
+                elif i == j:
                     root = tree(sides[0])
-                    out.update(candidates(root, root))
-            elif sides[0] and sides[1]:
-                out.update(candidates(tree(sides[0]), tree(sides[1])))
-            if len(out) > 50_000:
-                yield _pair_rows(out)
-                out.clear()
-        yield _pair_rows(out)
+                    yield from candidates(root, root)
+                elif sides[0] and sides[1]:
+                    yield from candidates(tree(sides[0]), tree(sides[1]))
+
+        yield from _pair_rows(pairs())
+
+    return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
 
-    return dealt.mapInArrow(join, "a long, b long").distinct()
 
+def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
 
-def _pair_rows(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.int64())], ["a", "b"])
+
+def _pair_rows(pairs: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Different pairs, a bounded number at a time."""
+    while True:
+        some = {*islice(pairs, 20_000)}
+        if not some:
+            return
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in some], pa.int64()), pa.array([x for _, x in some], pa.int64())], ["a", "b"])
 
 
 # --- prefixes ---
 
 
-def prefixes(df: DataFrame, key: str, text: str, order: Order) -> DataFrame:
+def prefixes(docs: DataFrame, order: Order) -> DataFrame:
     """(id, n, prefix): the first tokens of each document's set."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,11 +458,11 @@ def prefixes(df: DataFrame, key: str, text: str, order: Order) -> DataFrame:
             found = [(own, len(x), order.prefix(x).tobytes()) for own, x in _sets(batch) if len(x)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.binary())], ["id", "n", "prefix"])
 
-    return _texts(df, key, text).where("id IS NOT NULL").mapInArrow(made, "id long, n long, prefix binary")
+    return arrow_map(docs.where("id IS NOT NULL").select("id", "text"), made, "id long, n long, prefix binary")
 
 
-def open_tokens(held: DataFrame, buckets: int, log_bits: int) -> Bits:
-    """Tokens (a few more at most) that documents of different groups have in their prefixes.
+def shared_tokens(held: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, tokens): packed tokens that documents of different groups have in their prefixes.
 
     ``held``: (prefix, comp). Each task sends every bucket one packed row for each batch: tokens, and for each the
     smallest and largest group that the batch has for it.
@@ -400,17 +483,20 @@ def open_tokens(held: DataFrame, buckets: int, log_bits: int) -> Bits:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), *(pa.array([values[x].tobytes() for _, x in rows], pa.binary()) for values in (tokens, low, high - low))], ["bucket", "tokens", "low", "width"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-        for _, group in groupby(rows(), key=lambda r: r[0]):
+        for bucket, group in groupby(_rows(batches, "bucket", "tokens", "low", "width"), key=lambda r: r[0]):
             tokens, low, width = (np.concatenate([np.frombuffer(x, kind) for x in column]) for column, kind in zip(list(zip(*group, strict=True))[1:], (np.uint64, np.int64, np.int64), strict=True))
             tokens, low, high = _spans(tokens, low, low + width)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[low < high].view(np.int64))], ["token"])
+            found = tokens[low < high]
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([len(found)], pa.int64()), pa.array([found.tobytes()], pa.binary())], ["bucket", "n", "tokens"])
 
-    packed = held.select("prefix", "comp").mapInArrow(pack, "bucket int, tokens binary, low binary, width binary")
-    return Bits.of(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "token long"), log_bits)
+    packed = arrow_map(held.select("prefix", "comp"), pack, "bucket int, tokens binary, low binary, width binary")
+    return arrow_map(packed.repartition("bucket").sortWithinPartitions("bucket"), meet, "bucket int, n long, tokens binary")
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for x in batch.column("tokens").to_pylist():
+            yield np.frombuffer(x, np.uint64)
 
 
 def _spans(tokens: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -423,20 +509,36 @@ def _spans(tokens: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nd
     return tokens[starts], np.minimum.reduceat(low[order], starts), np.maximum.reduceat(high[order], starts)
 
 
-def open_postings(held: DataFrame, tokens: Bits) -> DataFrame:
-    """(token, id, comp, n, pos) for the prefix tokens that may be open."""
+POSTINGS = "token long, id long, comp long, n long, pos long"
+
+
+def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
+    """(token, id, comp, n, pos) for the prefix tokens that are shared (stored), or may be.
+
+    The tokens travel as bits with the tasks; if they are too many for that, all postings are joined with them.
+    """
+    log_bits = log_bits_for(shared.agg(F.sum("n")).first()[0] or 0)
+    wanted = Bits.of(shared.select("tokens"), log_bits, _packed) if log_bits <= MOST_BITS else None
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             for own, n, prefix, comp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 prefix = np.frombuffer(prefix, np.uint64)
-                at = np.flatnonzero(tokens.has(prefix))
+                at = np.flatnonzero(wanted.has(prefix)) if wanted else np.arange(len(prefix))
                 for column, values in zip(out, (prefix[at].view(np.int64), np.full(len(at), own), np.full(len(at), comp), np.full(len(at), n), at), strict=True):
                     column.append(values)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in out], ["token", "id", "comp", "n", "pos"])
 
-    return held.select("id", "n", "prefix", "comp").mapInArrow(made, "token long, id long, comp long, n long, pos long")
+    found = arrow_map(held.select("id", "n", "prefix", "comp"), made, POSTINGS)
+    if wanted:
+        return found
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens in _packed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], ["token"])
+
+    return found.join(arrow_map(shared.select("tokens"), spread, "token long").hint("merge"), "token", "left_semi")
 
 
 def meeting(postings: DataFrame) -> DataFrame:
@@ -446,12 +548,8 @@ def meeting(postings: DataFrame) -> DataFrame:
     """
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
         out: list[tuple] = []
-        for _, group in groupby(rows(), key=lambda r: r[0]):
+        for _, group in groupby(_rows(batches, "token", "id", "comp", "n", "pos"), key=lambda r: r[0]):
             few = list(islice(group, SMALL + 1))
             if len(few) > SMALL:
                 out += few
@@ -473,7 +571,7 @@ def meeting(postings: DataFrame) -> DataFrame:
                 out = []
         yield _posting_rows(out)
 
-    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(kept, "token long, id long, comp long, n long, pos long")
+    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), kept, POSTINGS)
 
 
 def _posting_rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -481,60 +579,73 @@ def _posting_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "id", "comp", "n", "pos"])
 
 
-def signatures(sets: DataFrame) -> DataFrame:
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bitmap(np.frombuffer(x, np.uint64)).tobytes() for x in batch.column(1).to_pylist()], pa.binary())], ["id", "words"])
-
-    return sets.mapInArrow(made, "id long, words binary")
-
-
 # --- the join ---
 
 
 def link(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for each row of ``df`` in no order: the groups that links connect."""
-    found = stored(profiles(df, key, text), "profiles")
-    counts = _sketch(found)
-    rows = found.where("slice IS NULL").select("id", "n", "k1", "k2", "stars")
-    nodes = rows.where("n > 0 AND id IS NOT NULL").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("stars").alias("stars"), F.first("n").alias("n"))
-    nodes = stored(nodes, "nodes")
-
-    # round 1: stars
-    keyed = nodes.select("rep", F.explode("stars").alias("star"))
-    centres = keyed.groupBy("star").agg(F.min("rep").alias("b"), F.count("*").alias("size")).where("size > 1").select("star", "b")
-    pairs = stored(keyed.join(centres, "star").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "star-pairs")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    first = stored(verified(pairs, sets_of(df, key, text, id_bits(ids))), "star-links")
-    comps = stored(components(first), "star-groups")
-
-    # round 2: signature trees over what the stars left open
-    order = Order(counts)
-    grouped = nodes.select(F.col("rep").alias("id")).distinct().join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
-    held = stored(prefixes(df, key, text, order).join(grouped, "id"), "prefixes")
+    kind = df.schema[key].dataType
+    docs = with_long(df.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "id")
+    if kind.typeName() in ("byte", "short", "integer", "long"):
+        return groups(docs.select("id", "text"))
+    docs = stored(docs, "numbered")  # numbered once for all passes
+    names = docs.where("id IS NOT NULL").select("id", "key").distinct()
+    found = groups(docs.select("id", "text")).join(names, "id", "left").withColumnsRenamed({"key": "own", "id": "number"})
+    component = names.select(F.col("id").alias("component_id"), F.col("key").alias("component"))
+    return found.join(component, "component_id", "left").select(F.col("own").alias("id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """``link`` for documents (id long, text)."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    log_cells = min(MOST_CELLS, max(LEAST_CELLS, (chars // 8).bit_length()))
+    found = stored(profiles(docs, log_cells), "profiles")
+    order = Order(_sketch(found, 1 << log_cells))
+    rows = found.where("slice IS NULL").select("id", "n", "k1", "k2", "stars", "words")
+    same = ["stars", "n", "words"]
+    nodes = stored(rows.where("n > 0 AND id IS NOT NULL").groupBy("k1", "k2").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in same)), "nodes")
+
+    # 1: leaders of star keys
+    pairs = stored(star_pairs(nodes), "star-pairs")
+    ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "star-ids")
+    links = [stored(verified(pairs, sets_of(docs, ids)), "star-links")]
+    dropped(pairs, ids)
+
+    # 2: leaders of prefix tokens
+    reps = nodes.select(F.col("rep").alias("id")).distinct()
+    held = stored(prefixes(docs, order).join(grouped(reps, links), "id"), "prefixes")
     total = held.agg(F.sum(F.length("prefix"))).first()[0] or 0
-    tokens = open_tokens(held, max(64, total // (8 * BUCKET_TOKENS)), min(MOST_BITS, max(20, (total // 8).bit_length())))
-    postings = stored(meeting(open_postings(held, tokens)), "postings")
-    open_ids = postings.select("id").distinct()
-    sets = stored(sets_of(df, key, text, id_bits(open_ids)), "open-sets")
-    pairs = stored(tree_pairs(postings.join(signatures(sets), "id")), "tree-pairs")
-    second = stored(verified(pairs, sets), "tree-links")
-
-    groups = components(first.unionByName(second)).withColumnRenamed("node", "rep")
-    labelled = nodes.join(groups, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+    shared = stored(shared_tokens(held, max(64, total // (8 * BUCKET_TOKENS))), "shared-tokens")
+    postings = stored(meeting(open_postings(held, shared)), "postings")
+    dropped(held, shared)
+    ids = stored(postings.select("id").distinct(), "open-ids")
+    sets = stored(sets_of(docs, ids), "open-sets")
+    pairs = stored(token_pairs(postings, nodes, False), "led-pairs")
+    links.append(stored(verified(pairs, sets), "led-links"))
+    dropped(pairs)
+
+    # 3: every document, over the tokens that are still open
+    still = stored(meeting(postings.drop("comp").join(grouped(ids, links), "id").select("token", "id", "comp", "n", "pos")), "open-postings")
+    pairs = stored(token_pairs(still, nodes, True), "tree-pairs")
+    links.append(stored(verified(pairs, sets), "tree-links"))
+    dropped(pairs, still, postings, ids, sets)
+
+    joined = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "rep")
+    labelled = nodes.join(joined, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     by_set = rows.join(labelled, ["k1", "k2"], "left")
     return by_set.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
-def _sketch(found: DataFrame) -> np.ndarray:
-    """The count sketch of all tasks."""
-    wide = found.where("slice IS NOT NULL").select("slice", "cells")
+def grouped(ids: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """(id, comp): the group of each id by the links so far."""
+    comps = components(reduce(DataFrame.unionByName, links))
+    return ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
 
-    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.frombuffer(x, np.uint16).astype(np.uint32).tobytes() for x in batch.column(1).to_pylist()], pa.binary())], ["slice", "cells"])
 
-    return merged(wide.mapInArrow(widen, "slice int, cells binary"), "<u4", np.add, CELLS)
+def _sketch(found: DataFrame, size: int) -> np.ndarray:
+    """The count sketch of all tasks."""
+    wide = found.where("slice IS NOT NULL").select("slice", "cells")
+    return merged(wide, "<u2", np.add, size, "<u4")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

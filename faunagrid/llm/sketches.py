@@ -1,7 +1,7 @@
-"""Fixed-size tables that tasks fill and Spark merges: counts of hashed cells, and sets of hashes.
+"""Tables that tasks fill and Spark merges: counts of hashed cells, and sets of hashes.
 
-A table has a fixed number of bytes whatever the input, so that it may be broadcast. Hashes that share a
-cell only make it look fuller; who reads these tables must not depend on more than that.
+Who makes a table sizes it by counts and has another way where it would be too large to broadcast.
+Hashes that share a cell only make it look fuller; who reads these tables must not depend on more.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from faunagrid.llm.storage import arrow_map
 
 SLICES = 64
 
@@ -21,14 +22,15 @@ def sliced(values: np.ndarray) -> tuple[list[int], list[bytes]]:
     return list(range(SLICES)), [x.tobytes() for x in values.reshape(SLICES, -1)]
 
 
-def merged(rows: DataFrame, kind: str, combine: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """One table from rows (slice, cells): slices are dealt to tasks, each of which keeps one slice at a time."""
+def merged(rows: DataFrame, kind: str, combine: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int, wide: str | None = None) -> np.ndarray:
+    """One table of ``wide`` cells from rows (slice, cells of ``kind``): slices are dealt to tasks, each of which keeps one at a time."""
+    wide = wide or kind
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
         for batch in batches:
             for own, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values = np.frombuffer(cells, kind)
+                values = np.frombuffer(cells, kind).astype(wide)
                 if own == at:
                     held = combine(held, values)
                     continue
@@ -39,10 +41,10 @@ def merged(rows: DataFrame, kind: str, combine: Callable[[np.ndarray, np.ndarray
             yield pa.RecordBatch.from_pydict({"slice": pa.array([at], pa.int32()), "cells": pa.array([held.tobytes()], pa.binary())})
 
     dealt = rows.select("slice", "cells").repartition("slice").sortWithinPartitions("slice")
-    found = {r.slice: r.cells for r in dealt.mapInArrow(merge, "slice int, cells binary").collect()}  # SLICES rows
-    out = np.zeros(size, kind)
+    found = {r.slice: r.cells for r in arrow_map(dealt, merge, "slice int, cells binary").collect()}  # SLICES rows
+    out = np.zeros(size, wide)
     for own, cells in found.items():
-        out.reshape(SLICES, -1)[own] = np.frombuffer(cells, kind)
+        out.reshape(SLICES, -1)[own] = np.frombuffer(cells, wide)
     return out
 
 
@@ -68,21 +70,24 @@ class Bits:
         return found
 
     @classmethod
-    def of(cls, hashes: DataFrame, log_bits: int = 23) -> Bits:
-        """The set of the hashes in a DataFrame's only column (long)."""
+    def of(cls, rows: DataFrame, log_bits: int, hashes: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]) -> Bits:
+        """The set of what ``hashes`` makes of the rows: arrays of 64-bit numbers."""
         size = 1 << log_bits - 3
 
         def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.zeros(size, np.uint8)
             some = False
-            for batch in batches:
-                own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for own in hashes(batches):
                 some |= own.size > 0
-                for at in places(own, log_bits):
+                for at in places(own.astype(np.uint64), log_bits):
                     np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
             if some:
                 slices, cells = sliced(bits)
                 yield pa.RecordBatch.from_pydict({"slice": pa.array(slices, pa.int32()), "cells": pa.array(cells, pa.binary())})
 
-        column = hashes.columns[0]
-        return cls(merged(hashes.select(F.col(column).alias("hash")).mapInArrow(fill, "slice int, cells binary"), "u1", np.bitwise_or, size))
+        return cls(merged(arrow_map(rows, fill, "slice int, cells binary"), "u1", np.bitwise_or, size))
+
+
+def log_bits_for(n: int) -> int:
+    """Bits of a table for ``n`` hashes, as a power of two: about 16 to 32 a hash, so that a few in 10,000 are falsely in it."""
+    return max(13, (16 * n).bit_length())

@@ -61,11 +61,15 @@ def test_edges(spark):
 
 @pytest.mark.parametrize("stars", [near.STAR_KEYS, 1])
 def test_random_edits_by_hand(spark, monkeypatch, stars):
-    """Chains of edits, shared passages, and pairs on either side of the threshold; with one star key most are left to the trees."""
+    """Chains of edits, shared passages, and pairs on either side of the threshold.
+
+    With one star key most links are left to the prefix tokens, in small blocks, with joins instead of bits.
+    """
     monkeypatch.setattr(near, "STAR_KEYS", stars)
     if stars == 1:
         monkeypatch.setattr(near, "STAR_ROWS", 14)
-        monkeypatch.setattr(near, "BLOCK", 16)
+        monkeypatch.setattr(near, "BLOCK", 8)
+        monkeypatch.setattr(near, "MOST_BITS", 0)
     rng = random.Random(stars)
     vocabulary = [f"w{i}" for i in range(400)]
     passage = " ".join(rng.choices(vocabulary, k=60))
@@ -107,7 +111,8 @@ def test_most_shared_is_a_bound():
     for _ in range(300):
         pool = np.unique(rng.integers(0, 1 << 63, 900).astype(np.uint64))
         a, b = (np.sort(rng.choice(pool, rng.integers(1, 600), replace=False)) for _ in range(2))
-        assert near.most_shared(near.bitmap(a), near.bitmap(b), len(a), len(b)) >= len(np.intersect1d(a, b))
+        x, y = (near.Member(0, 0, len(t), 0, near.bitmap(t)) for t in (a, b))
+        assert near.most_shared(x, y) >= len(np.intersect1d(a, b))
 
 
 def test_components(spark):
@@ -138,3 +143,37 @@ def test_large_group_of_near_copies(spark):
         rows.append((i, " ".join(words)))
     got = near.link(spark.createDataFrame(rows, "doc_id long, text string")).agg(F.count_distinct("component_id"), F.min("component_id")).first()
     assert tuple(got) == (1, 0)
+
+
+def test_leaders_take_a_group_without_its_pairs():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    members = []
+    for doc in range(900):
+        tokens = np.unique(np.concatenate((base[rng.random(300) > 0.03], rng.integers(0, 1 << 63, 5).astype(np.uint64))))
+        members.append(near.Member(doc, doc, len(tokens), 0, near.bitmap(tokens)))
+    pairs = {*near.led(members)}
+    assert len(pairs) == 899 and {b for _, b in pairs} == {0}
+    across = {*near.led(members[:400], members[400:])}
+    assert {a for a, _ in across} == {*range(400, 900)} and len(across) == 500
+
+
+def test_a_token_of_several_large_groups(spark, monkeypatch):
+    """Documents of two linked groups and a few others share their rarest token, in more than one block."""
+    monkeypatch.setattr(near, "BLOCK", 8)
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    texts = []
+    for name in "xy":
+        for i in range(40):
+            body = words("common", 30) + words(name, 60)
+            body[40 + i % 45] = f"own{i}"
+            texts.append(" ".join(body))
+    texts += [" ".join(words("common", 30) + words(f"z{i}", 20)) for i in range(10)]
+    check(spark, [*enumerate(texts)])
+
+
+def test_text_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(50)) for x in "ab")
+    df = spark.createDataFrame([("z", a), ("m", a + " more"), ("k", b), (None, a), ("k2", None)], "doc_id string, text string")
+    got = {r.id: r.component_id for r in near.link(df).collect()}
+    assert got == {"z": "m", "m": "m", "k": "k", "k2": "k2", None: None}
