@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
-from faunagrid.llm.storage import stored, table
+from faunagrid.llm.storage import arrow_map, stored, table
 
 BINS = 128
 
 
-#: A bin that nothing has fallen into; others hold smaller numbers, of 32 bits too: the smallest of the
-#: hashes of a bin comes near 0 only with some 10^9 phrases, so that likeness does not depend on length.
-NONE = (1 << 32) - 1
+#: Bits of a hash that name its bin; a bin that nothing has fallen into, as a hash and as written.
+BIN_BITS = BINS.bit_length() - 1
+EMPTY, NONE = np.uint64((1 << 64) - 1), (1 << 16) - 1
 
 
 def phrases(text: str, known: set[str]) -> tuple[list[str], str]:
@@ -53,22 +53,37 @@ def lowered(bins: np.ndarray, found: list[str]) -> np.ndarray:
     """The bins after the hashes of further phrases."""
     bins = bins.copy()
     hashes = np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found))
-    np.minimum.at(bins, (hashes & np.uint64(BINS - 1)).astype(np.int64), np.minimum((hashes >> np.uint64(32)).astype(np.int64), NONE - 1))
+    np.minimum.at(bins, (hashes & np.uint64(BINS - 1)).astype(np.int64), hashes >> np.uint64(BIN_BITS))
     return bins
 
 
+def none() -> np.ndarray:
+    return np.full(BINS, EMPTY)
+
+
+def coded(bins: np.ndarray) -> np.ndarray:
+    """Smallest hashes as 16 bits: how many zeros lead, and the 10 bits after the first one.
+
+    However many phrases a text has, and so however small its hashes are, two unlike ones have the same code by a chance below 1 in 1000.
+    """
+    part, power = np.frexp(np.maximum(bins, np.uint64(1)).astype(np.float64))
+    code = (64 - BIN_BITS - power).astype(np.int64) << 10 | ((part - 0.5) * 2048).astype(np.int64)
+    return np.where(bins == EMPTY, NONE, code)
+
+
 def written(bins: np.ndarray) -> bytes:
-    """Four bytes a bin; nothing for the empty text."""
-    return b"" if (bins == NONE).all() else bins.astype(">u4").tobytes()
+    """Two bytes a bin; nothing for the empty text."""
+    return b"" if (bins == EMPTY).all() else coded(bins).astype(">u2").tobytes()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    a, b = coded(a), coded(b)
     either = (a < NONE) | (b < NONE)
     return float(((a == b) & either).sum() / either.sum()) if either.any() else 1.0
 
 
 def fingerprint(text: str) -> np.ndarray:
-    return lowered(np.full(BINS, NONE, np.int64), phrases(text, set())[0])
+    return lowered(none(), phrases(text, set())[0])
 
 
 def fingerprints(df: DataFrame, text: str = "text", into: str = "fingerprint") -> DataFrame:
@@ -92,13 +107,15 @@ def compare(text: str, following: str) -> tuple[np.ndarray, tuple]:
     stays, other = edited(text, following)
     known: set[str] = set()
     found, rest = phrases(text[:stays], known)  # common to both texts
-    common = lowered(np.full(BINS, NONE, np.int64), found)
+    common = lowered(none(), found)
     also = set(known)
     bins = lowered(common, phrases(rest + text[stays:], known)[0])
     other_bins = lowered(common, phrases(rest + other[stays:], also)[0])
     return bins, (len(text), hashlib.sha256(other.encode()).digest(), written(bins), written(other_bins), likeness(bins, other_bins))
 
 
+#: Parts that equal texts of one id can be dealt to.
+SPREAD = 1 << 14
 FIELDS = [("n_chars", T.LongType()), ("edited_sha256", T.BinaryType()), ("fingerprint", T.BinaryType()), ("edited_fingerprint", T.BinaryType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
 
 
@@ -168,14 +185,14 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     kind = df.schema[key].dataType
     ends, plain = ends_schema(kind), rows_schema(kind)
     rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("spread", F.xxhash64(F.monotonically_increasing_id()))
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("spread", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD)).cast("short"))
     ranges = rows.repartitionByRange("id", "hash", "spread").sortWithinPartitions("id", "hash", "text").select("id", "text")
-    done = stored(ranges.mapInArrow(lambda batches: compare_in_order(batches, ends), ends), "fingerprints")
+    done = stored(arrow_map(ranges, lambda batches: compare_in_order(batches, ends), ends), "fingerprints")
     heads, tails = (done.where(F.col("role") == role) for role in ("head", "tail"))
     parts = sorted(x.part for x in heads.select("part").collect())  # at most the number of partitions
     order = spark.createDataFrame([*zip(parts, parts[1:] + parts[:1], strict=True)], "part int, follower int")
     pairs = tails.select("part", "id", "text").join(order, "part").join(heads.select(F.col("part").alias("follower"), F.col("text").alias("following")), "follower")
-    last = pairs.select("id", "text", "following").mapInArrow(lambda batches: compare_ends(batches, plain), plain)
+    last = arrow_map(pairs.select("id", "text", "following"), lambda batches: compare_ends(batches, plain), plain)
     every = done.where(F.col("role") == "row").select(*plain.names).unionByName(last)
     texts = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
     return every.withColumns(texts).withColumnRenamed("id", key)

@@ -118,9 +118,12 @@ def test_fingerprints_of_text_ids_and_of_one_id_in_all_rows(spark):
 
 def test_long_texts_of_no_common_phrase_are_unlike():
     rng = np.random.default_rng(4)
-    none = np.full(fingerprints.BINS, fingerprints.NONE, np.int64)
-    hashes = [rng.integers(0, 1 << 62, 2_000_000).astype(str).tolist() for _ in range(2)]
-    assert fingerprints.likeness(*(fingerprints.lowered(none, x) for x in hashes)) == 0.0
+    for n in (100, 10_000, 2_000_000):
+        found = [rng.integers(0, 1 << 62, n).astype(str).tolist() for _ in range(2)]
+        assert fingerprints.likeness(*(fingerprints.lowered(fingerprints.none(), x) for x in found)) <= 0.01
+    for n in (1 << 30, 1 << 40):  # the smallest of n hashes, drawn at once
+        a, b = ((rng.exponential(size=(4000, fingerprints.BINS)) * (1 << 57) / n).astype(np.uint64) for _ in range(2))
+        assert (fingerprints.coded(a) == fingerprints.coded(b)).mean() < 0.001
 
 
 def test_edited_texts_are_nearer_than_others(spark):
