@@ -2,6 +2,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -159,6 +160,56 @@ def test_a_page_without_article():
     assert text.startswith("Storm hits the coast A large storm") and "homes & farms. It was" in text and text.endswith("until further notice.")
 
 
+WORDS = "A storm hit the coast on Monday night and many people had to leave their homes and farms for some days".split()
+P = " ".join(WORDS) + "."
+NAV = '<ul class="menu"><li><a href=/a>Home</a></li><li><a href=/b>News</a></li><li><a href=/c>Sport</a></li></ul>'
+END = '<div id="footer"><p>Copyright 2024 by the site, all rights reserved.</p></div>'
+
+
+@pytest.mark.parametrize(
+    ("before", "behind"),
+    [
+        ("<div class='layout with-sidebar'><article>", "</article></div>"),
+        ("<div class='no-sidebar'><article>", "</article></div>"),
+        ("<article><section id='search-history'>", "</section></article>"),
+        ("<div class='sidebar-layout'><main>", "</main><div class='sidebar'><p>Sign up for our letter and get the news each day.</p></div></div>"),
+        ("<form id=page action=x><div class=content>", "</div></form>"),
+        ("<div class='post'><div class='entry-content'>", "</div><div class='comments-area'><p>Great text! I was there too and saw all of it myself.</p></div></div>"),
+        ("<article><svg viewBox='0 0 1 1'><path d='M0'>", "</article>"),
+        ("<article><button>Menu", "</article>"),
+        ("<article><svg class=x />", "<aside><p>Read our other texts on storms of the last years.</p></aside></article>"),
+        ("<table><tr><td>", "</table>"),
+        ("<article><div class=newsletter><p>Sign up for our letter and get the news each day.</p></div>", "<div class=share><p>Tell your friends of this text</p></div></article>"),
+        ("<main><noscript><img src=x>Turn on scripts</noscript><select><option>One<option>Two</select>", "</main>"),
+        ("<div class=wrap><div class=siteHeader><p>The best site of all</p></div><div class=body>", "</div></div>"),
+    ],
+)
+def test_other_templates(before, behind):
+    page = f"<html><head><title>T<b></title><body>{NAV}{before}<h1>The storm of the year</h1><p>{P}<p>{P} x &lt; y</p><p>{P}</p>{behind}{END}"
+    assert html_text.main_text(page) == f"The storm of the year {P} {P} x < y {P}"
+
+
+def test_pages_without_optional_tags():
+    assert html_text.main_text(f"<title>T</title><style>p{{}}</style><article><h1>Title</h1><p>{P}</article>") == f"Title {P}"
+    assert html_text.main_text(f"<head><meta charset=utf-8><article><p>{P} <math><mi>x</mi></math> is</article>") == f"{P} x is"
+    assert html_text.main_text(f"<article><p title='a > b' class=\"x\">{P}<br/>and<!-- - > no --> more</p ></article>") == f"{P} and more"
+
+
+@pytest.mark.parametrize("part", ["<a x", "<p title=\"", "<p title='", "<", "</", "<!", "<!--", "<div>", "</x>", "<div></p>", "<svg>", "<p a=b ", "&lt", "<p " + " " * 20, "<script>", "<ul><li class=nav>x", "<a href=x>y", "=\"'"])
+def test_time_is_linear(part):
+    for start in ("", "<article><p>text ", "<div>" * 2000):
+        page = start + part * (300_000 // len(part))
+        began = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - began < 5
+
+
+def test_the_tree_learns_its_table():
+    data = np.array([line.split() for line in html_text.LABELLED.strip().splitlines()], float)
+    assert data.shape[1] == len(html_text.FEATURES) + 1
+    assert (html_text.judge(html_text.tree(), data[:, :-1]) == data[:, -1]).all()
+
+
 def test_page_edges(spark):
     rows = [(1, None), (2, ""), (3, "<p>"), (4, "<article><p>" + "word " * 50_000), (5, "<script>never closed <p>x"), (6, "a < b && c > d <!-- x"), (6, "<article><p>&#xE9;t&eacute; &zzz; &amp;lt;</p></article>")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, html string, text string")
