@@ -48,8 +48,9 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("batches", [1, 2, 5])
-def test_line_dedup_by_hand(spark, batches):
+@pytest.mark.parametrize("batches", [None, 2, 5])
+def test_line_dedup_by_hand(spark, batches, monkeypatch):
+    monkeypatch.setattr(lines, "HOT", 2)
     df = spark.createDataFrame([(*r, "clash") for r in ROWS], "doc_id long, text string, n_lines string")
     got = [(r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in lines.dedup_lines(df, batches=batches).collect()]
     assert sorted(got, key=repr) == sorted(by_hand(ROWS), key=repr)
@@ -62,6 +63,27 @@ def test_runs_are_compacted(spark):
         runs.add(spark.createDataFrame(batch, "doc long, h1 long, h2 long"))
     assert [len(x) for x in runs.levels] == [1, 1]
     assert {(r.h1, r.n_docs, r.keeper) for r in runs.verdicts().collect()} == {(1, 4, 9), (2, 1, 8), (3, 2, 5)}
+    runs.close()
+    assert not runs.paths and not [t for t in spark.catalog.listTables() if t.name.startswith("faunagrid_run")]
+
+
+def test_runs_are_merged_in_order(spark):
+    """Bringing runs together neither deals nor sorts them; a batch alone is dealt and sorted, to meet them."""
+    runs = lines.LineRuns(spark, fan_out=9, buckets=4)
+    for i in range(3):
+        rows = spark.range(5000).select((1000 - F.lit(i)).cast("long").alias("doc"), F.xxhash64("id").alias("h1"), F.xxhash64("id", F.lit(i % 2)).alias("h2"))
+        runs.add(rows)
+    plan = runs.merged(*runs.names()[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort " not in plan and plan.count("SelectedBucketsCount: 4 out of 4") == 2
+    assert {(r.n_docs, r.keeper) for r in runs.verdicts().select("n_docs", "keeper").distinct().collect()} == {(2, 1000), (1, 999)}
+    runs.close()
+
+
+def test_text_ids_and_lines_of_very_many_documents(spark, monkeypatch):
+    monkeypatch.setattr(lines, "HOT", 100)
+    df = spark.range(3000).select(F.format_string("d%05d", "id").alias("doc_id"), F.concat(F.lit("a line of more than twenty\nown "), F.col("id").cast("string")).alias("text"))
+    got = lines.dedup_lines(df).agg(F.sum("n_dropped").alias("n"), F.max(F.when(F.col("n_dropped") == 0, F.col("doc_id"))).alias("kept")).first()
+    assert tuple(got) == (2999, "d02999")
 
 
 @pytest.mark.parametrize("name", ["op7_line_dedup", "op9_secret_scan"])
