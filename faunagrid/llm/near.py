@@ -12,7 +12,7 @@ traversals find is verified on whole sets. Trees are built over documents that s
 2. Keys are prefix tokens: by the prefix filter, two sets can only reach the threshold if they share
    one of their first tokens in a common order, here rare tokens first (by a count sketch; any
    order is right, a rarer one is faster). Tokens whose documents are all linked already are done.
-   Again leaders are looked up.
+   Again leaders are looked up, for the tokens of many documents.
 3. The same keys, as far as they are still open, and every document is looked up: this makes the join exact.
 
 A key of many documents is dealt to blocks, of one linked group each where that has enough of them,
@@ -52,7 +52,7 @@ LEAST_CELLS, MOST_CELLS = 12, 21
 #: Documents of one key in one tree.
 BLOCK = 1024
 LEAF = 8
-#: Documents of one token that are compared by size and place alone before trees are built.
+#: Documents of one token that are compared by size and place alone before trees are built; tokens of more have leaders.
 SMALL = 64
 #: Sets verified against one at a time by one task.
 VERIFY = 256
@@ -613,33 +613,49 @@ def groups(docs: DataFrame) -> DataFrame:
 
     # 2: leaders of prefix tokens
     reps = nodes.select(F.col("rep").alias("id")).distinct()
-    held = stored(prefixes(docs, order).join(grouped(reps, links), "id"), "prefixes")
+    held = stored(prefixes(docs, order).join(led_by(reps, links[0]), "id"), "prefixes")
     total = held.agg(F.sum(F.length("prefix"))).first()[0] or 0
     shared = stored(shared_tokens(held, max(64, total // (8 * BUCKET_TOKENS))), "shared-tokens")
     postings = stored(meeting(open_postings(held, shared)), "postings")
     dropped(held, shared)
     ids = stored(postings.select("id").distinct(), "open-ids")
     sets = stored(sets_of(docs, ids), "open-sets")
-    pairs = stored(token_pairs(postings, nodes, False), "led-pairs")
+    many = postings.join(postings.groupBy("token").count().where(F.col("count") > SMALL).select(F.col("token").alias("of_many")), F.col("token") == F.col("of_many"), "left_semi")
+    pairs = stored(token_pairs(many, nodes, False), "led-pairs")
     links.append(stored(verified(pairs, sets), "led-links"))
     dropped(pairs)
 
     # 3: every document, over the tokens that are still open
-    still = stored(meeting(postings.drop("comp").join(grouped(ids, links), "id").select("token", "id", "comp", "n", "pos")), "open-postings")
+    comps = stored(components(reduce(DataFrame.unionByName, links)), "led-groups")
+    grouped = ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
+    still = stored(meeting(postings.drop("comp").join(grouped, "id").select("token", "id", "comp", "n", "pos")), "open-postings")
     pairs = stored(token_pairs(still, nodes, True), "tree-pairs")
-    links.append(stored(verified(pairs, sets), "tree-links"))
+    last = stored(verified(pairs, sets), "tree-links")
     dropped(pairs, still, postings, ids, sets)
 
-    joined = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "rep")
+    joined = joined_by(comps, last).withColumnRenamed("node", "rep")
     labelled = nodes.join(joined, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     by_set = rows.join(labelled, ["k1", "k2"], "left")
     return by_set.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
-def grouped(ids: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """(id, comp): the group of each id by the links so far."""
-    comps = components(reduce(DataFrame.unionByName, links))
-    return ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
+def led_by(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, comp): of each id its leader's leader by the links, or its leader, or itself. Ids of one comp are linked."""
+    up = links.groupBy("a").agg(F.min("b").alias("b"))
+    first, second = up.withColumnsRenamed({"a": "id", "b": "one"}), up.withColumnsRenamed({"a": "one", "b": "two"})
+    return ids.join(first, "id", "left").join(second, "one", "left").select("id", F.coalesce("two", "one", "id").alias("comp"))
+
+
+def joined_by(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) joined further by a few links (a, b): only the components that these touch are looked at again."""
+    if not links.take(1):
+        return comps
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    every = stored(comps.unionByName(ends.join(comps, "node", "left_anti").withColumn("component", F.col("node"))), "groups")
+    x, y = (every.withColumnsRenamed({"node": end, "component": f"of_{end}"}) for end in ("a", "b"))
+    touched = links.join(x, "a").join(y, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    over = components(touched).select(F.col("component").alias("over"), F.col("node").alias("component"))
+    return every.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
 
 
 def _sketch(found: DataFrame, size: int) -> np.ndarray:

@@ -69,6 +69,7 @@ def test_random_edits_by_hand(spark, monkeypatch, stars):
     if stars == 1:
         monkeypatch.setattr(near, "STAR_ROWS", 14)
         monkeypatch.setattr(near, "BLOCK", 8)
+        monkeypatch.setattr(near, "SMALL", 4)
         monkeypatch.setattr(near, "MOST_BITS", 0)
     rng = random.Random(stars)
     vocabulary = [f"w{i}" for i in range(400)]
@@ -161,6 +162,7 @@ def test_leaders_take_a_group_without_its_pairs():
 def test_a_token_of_several_large_groups(spark, monkeypatch):
     """Documents of two linked groups and a few others share their rarest token, in more than one block."""
     monkeypatch.setattr(near, "BLOCK", 8)
+    monkeypatch.setattr(near, "SMALL", 8)
     words = lambda name, n: [f"{name}{i}" for i in range(n)]
     texts = []
     for name in "xy":
