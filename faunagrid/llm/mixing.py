@@ -40,24 +40,40 @@ def words(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def numbered(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``_at``: places from 0 in the order of ``source``, null last. Sorted in ranges; the driver sees a number for each range."""
+    order = F.col("source").asc_nulls_last()
+    rows = stored(sizes.repartitionByRange(order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id()), "sources")
+    part = F.shiftright("_id", 33)
+    counts = sorted(rows.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect())
+    before, starts = 0, []
+    for r in counts:
+        starts.append((r["_part"], before))
+        before += r["n"]
+    offsets = sizes.sparkSession.createDataFrame(starts, "_part long, _before long")
+    return rows.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn("_at", F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_before", "_id")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
     """``sizes`` (source, source_size; a row for each source) with ``target``.
 
     Weights repeat over the sources by code point. Targets are min(cap, level * weight) for the
-    level at which they sum to the budget: sorted by cap over weight, the first source whose
-    level, were all before it at their caps, is within its own cap, gives it. One row a source.
+    level at which they sum to the budget. The level is raised from where no source were at its cap, each time
+    to what the sources below their caps have left, until no further source comes to its cap; every
+    step is one sum over the sources.
     """
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    w = sizes.withColumn("_w", F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(ordered) - 1, F.lit(len(weights))) + 1).cast("int")).cast("double"))
-    w = w.withColumn("_cap", F.col("source_size") * F.lit(float(passes)))
-    by_ratio = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("source").asc_nulls_last())
-    before, every = by_ratio.rowsBetween(Window.unboundedPreceding, -1), by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    budget = F.sum(F.col("source_size").cast("double")).over(every) * F.lit(share)
-    left = budget - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
-    weight = F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))
-    w = w.withColumn("_level", left / weight).withColumn("_at", F.row_number().over(by_ratio))
-    w = w.withColumn("_level", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct("_at", "_level"))).over(every)["_level"])
-    return w.withColumn("target", F.coalesce(F.least("_cap", F.col("_level") * F.col("_w")), F.col("_cap"))).drop("_w", "_cap", "_level", "_at")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("_at") % len(weights) + 1).cast("int")).cast("double")
+    w = numbered(sizes).withColumn("_w", weight).withColumn("_cap", F.col("source_size") * F.lit(float(passes)))
+    total, every = w.agg(F.sum(F.col("source_size").cast("double")), F.sum("_w")).first()
+    budget, level, before = share * (total or 0.0), 0.0, None
+    level = budget / every if every else 0.0
+    while True:
+        full = F.col("_cap") <= F.lit(level) * F.col("_w")
+        capped, n, rest = w.agg(F.sum(F.when(full, F.col("_cap")).otherwise(0.0)), F.count_if(full), F.sum(F.when(full, 0.0).otherwise(F.col("_w")))).first()
+        if n == before or not rest:
+            break
+        level, before = (budget - capped) / rest, n
+    return w.withColumn("target", F.least("_cap", F.lit(level) * F.col("_w"))).drop("_w", "_cap", "_at")
 
 
 def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -157,7 +173,8 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     counted = in_bucket.alias("a").join(wanted.alias("b"), same & (F.col("a.size") == F.col("b.size"))).select("a.*", "b.passes", "b.extra", "b.source_size", "b.target")
     order = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("room", F.col("extra") - F.coalesce(F.sum("n").over(order), F.lit(0)))
-    here = docs.alias("a").join(counted.alias("b"), same & (F.col("a.size") == F.col("b.size")) & (F.col("a.bucket") == F.col("b.bucket"))).select("a.*", "b.n", "b.passes", "b.room", "b.source_size", "b.target")
+    # a row of ``counted`` for nearly every document, so never to be broadcast
+    here = docs.alias("a").join(counted.alias("b").hint("merge"), same & (F.col("a.size") == F.col("b.size")) & (F.col("a.bucket") == F.col("b.bucket"))).select("a.*", "b.n", "b.passes", "b.room", "b.source_size", "b.target")
     within = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id", *(["_mark"] if row else [])))
     more = F.when(F.col("room") <= 0, 0).when(F.col("room") >= F.col("n"), 1).otherwise((within <= F.col("room")).cast("int"))
     return here.withColumn("taken", F.col("size") * (F.col("passes") + more)).select(F.col("id").alias(key), "size", "source_size", "target", "taken", *([F.col("_mark").alias(row)] if row else []))
