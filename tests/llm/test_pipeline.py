@@ -1,3 +1,4 @@
+import random
 import re
 
 import corpus_pipeline
@@ -70,6 +71,48 @@ def test_mix_stage_with_null_and_repeated_ids(spark):
         assert abs(sum(len(r[1].split()) for r in got if r[3] == name) - targets[name]) <= 1
 
 
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score string, taken string, id string, size string, n_lines string"
+
+
+def odd_documents(spark):
+    """Nulls in any column, empty and very long texts, ties, repeated rows, copies, and columns named like those of the operators."""
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+    extra = ("s", "t", "i", "z", "l")
+    rows = [(i, f"{words(30)}\nthe same line in all of the documents", "en", "ab"[i % 2], 0, *extra) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more", "en", None, None, *extra) for i in range(10)]  # near copies
+    rows += [rows[3], rows[3], (None, rows[4][1], None, None, None, *extra), (None, None, *[None] * 8), (200, None, *[None] * 8), (201, "", "en", "a", 0, *extra), (202, words(20_000), "en", "a", 0, *extra)]
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_stages_take_odd_documents(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(quality, "THRESHOLD", 0.0)  # those are junk to the model
+    docs = odd_documents(spark)
+    docs = docs.where("false") if few else docs
+    rows, out = docs.collect(), {}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        assert name == "tokens" or dict(found.dtypes) == dict(docs.dtypes) and found.columns == docs.columns
+        found.write.parquet(str(tmp_path / name))
+        out[name] = docs = spark.read.parquet(str(tmp_path / name))
+    if few:
+        assert [x.count() for x in out.values()] == [0] * 5
+        return
+    key = lambda r: tuple(map(str, r))
+    assert sorted(out["quality"].collect(), key=key) == sorted(rows, key=key)
+    got = sorted(((r.doc_id, r.text, r.score, r.n_lines) for r in out["line_dedup"].collect()), key=str)
+    expected = zip(rows, lines_by_hand([(r.doc_id, r.text) for r in rows]), strict=True)
+    assert got == sorted(((doc, text, r.score, r.n_lines) for r, (doc, _, _, text) in expected), key=str)
+    before, kept = out["line_dedup"].collect(), out["near_copies"].collect()
+    groups = near_by_hand(sorted({(r.doc_id, r.text) for r in before if r.doc_id is not None}))
+    assert {r.doc_id for r in kept if r.doc_id is not None} == {doc for doc, (_, group) in groups.items() if doc == group}
+    assert [r.doc_id for r in kept].count(3) == 1 and [r.doc_id for r in kept].count(None) == 2
+    mixed = out["source_mix"].collect()
+    assert {key(r) for r in mixed} <= {key(r) for r in kept} and all(r.text for r in mixed)
+    assert out["tokens"].count() == len(mixed)
+
+
 def test_token_stage_and_run(spark, steps):
     codec = bpe.Codec(bpe.read_ranks(bpe.vocabulary()[0]), bpe.vocabulary()[1])
     expected = sorted((doc, len(codec.encode(text or ""))) for doc, text in pairs(steps[4]))

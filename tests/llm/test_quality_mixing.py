@@ -1,9 +1,12 @@
 import itertools
+import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from faunagrid.llm import mixing, quality
 from pyspark.sql import functions as F
 
@@ -32,6 +35,30 @@ def test_quality_edges(spark):
     assert all(0 <= r.score <= 1 for r in got) and quality.score(docs.where("false"), model).count() == 0
 
 
+def test_scores_by_hand(spark):
+    """Every score of the query, from sizes compressed here one piece at a time."""
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in quality.op2_quality_classifier(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert len(model.good) > 1000 and len(model.bad) > 1000 and model.weights[1] < 0
+    sides = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(x), write_content_size=False, write_checksum=False, write_dict_id=False) for x in (model.good, model.bad)]
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        sizes = [sum(len(side.compress(data[i : i + 1024])) for i in range(0, max(1, len(data)), 1024)) for side in sides]
+        n = max(1, len(data))
+        x = [1.0, min(8.0, max(-8.0, 20 * (sizes[0] - sizes[1]) / n)), min(15.0, 10 * min(sizes) / n)]
+        score = 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.weights, strict=True))))
+        held, own, predicted = got[r.doc_id]
+        assert own == pytest.approx(score, abs=1e-9) and predicted == int(own >= 0.3) and held == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    assert len(got) == docs.count()
+
+
+def test_no_held_out_label_is_learned_from(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
+    other = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert quality.fit(docs, labels) == quality.fit(docs, other)
+
+
 def test_quality_learns_from_whole_texts(spark):
     rng = random.Random(8)
     words = lambda letters, n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
