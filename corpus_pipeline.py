@@ -1,7 +1,8 @@
 """A training corpus from raw documents: five stages, each an operator of ``faunagrid.llm``.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of documents. ``run`` writes each result as Parquet on shared storage and reads it again.
+columns of documents, others of any names among them. ``run`` writes each result as Parquet on shared
+storage and reads it again. An empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -17,27 +18,44 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones, does not reject."""
+    """Documents that the classifier, fitted on the labelled ones, does not reject.
+
+    A null text is scored as the empty one; without labels of both kinds all documents have one score.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+    rows = docs.select("text", F.struct("*").alias("_row"))
+    return quality.score(rows, model).where(F.col("score") >= quality.THRESHOLD).select("_row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that three or more share, but for one of each."""
-    found = lines.dedup_lines(docs).withColumn("text", F.col("kept_text"))
-    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    """Documents without the lines that three or more share, but for one of each.
+
+    A null text becomes the empty one; a row without an id keeps all its lines; rows of one id are one document.
+    """
+    rows = docs.select("doc_id", "text", F.struct("*").alias("_row"))
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return lines.dedup_lines(rows).select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the smallest; those without an id stay."""
-    linked = near.link(docs)
+    """One document of each group of near copies, the smallest.
+
+    Rows without an id stay; empty texts are no copies; rows that repeat an id and its text stay once.
+    """
+    linked = stored(near.link(docs), "linked")
     kept = linked.where("id = component_id").select(F.col("id").alias("_kept")).distinct()
+    again = linked.groupBy("id").count().where("id IS NOT NULL AND count > 1").select(F.col("id").alias("_again"))
     found = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return found.unionByName(docs.where("doc_id IS NULL"))
+    once = found.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    repeated = found.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice; rows without an id, or with equal ones, each for itself."""
+    """Documents as often as the mix takes them: not at all, once or twice.
+
+    Rows without an id, or with equal ones, are each for themselves; a null source is one; rows without words go.
+    """
     rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     times = F.floor(F.col("taken") / F.col("size")).cast("int")
     mixed = mixing.mix(rows, row="_row").where("taken > 0").select("_row", times.alias("_times"))
@@ -45,7 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts, and digests of the ids and of the bytes that they decode to."""
+    """Token counts, and digests of the ids and of the bytes that they decode to; a null text has no tokens."""
     return bpe.round_trip(docs, *bpe.vocabulary())
 
 
