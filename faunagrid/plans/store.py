@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,8 +102,8 @@ def build_store(
 ) -> str:
     """Builds a store at ``path`` from a DataFrame, or from Parquet paths; returns the path.
 
-    It is written beside the path and moved there when complete, so that a failed build leaves
-    the old store as it was.
+    It is written beside the path and moved there when complete; the old store is moved aside
+    before and deleted after, so that a failed build leaves it as it was.
     """
     fs, target = _files(spark, path)
     if fs.exists(target) and not overwrite:
@@ -115,28 +116,45 @@ def build_store(
         occ_tiers(base).write.partitionBy("res").parquet(f"{staging}/occ_h3")
         index_of(base, esn).write.partitionBy("res").parquet(f"{staging}/idx_h3")
         fs.delete(_files(spark, f"{staging}/base")[1], True)
-        if fs.exists(target):
-            fs.delete(target, True)
         fs.mkdirs(target.getParent())
+        aside = _files(spark, f"{staging}-old")[1]
+        if fs.exists(target) and not fs.rename(target, aside):
+            raise OSError(f"cannot move {path} aside")
         if not fs.rename(_files(spark, staging)[1], target):
+            if fs.exists(aside):
+                fs.rename(aside, target)
             raise OSError(f"cannot move {staging} to {path}")
+        fs.delete(aside, True)
     finally:
         fs.delete(_files(spark, staging)[1], True)
     return path
 
 
 def publish(spark: SparkSession, root: str, version: str) -> str:
-    """Points ``root``/CURRENT at a version's folder, by one rename; returns the folder."""
-    fs, folder = _files(spark, f"{root.rstrip('/')}/{version}")
+    """Points ``root``/CURRENT, a file, at a version's folder, by one rename over the old file; returns the folder."""
+    root = root.rstrip("/")
+    fs, folder = _files(spark, f"{root}/{version}")
     if not fs.exists(folder):
         raise FileNotFoundError(f"no version {version} in {root}")
-    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("overwrite").parquet(f"{root}/.CURRENT-new")
-    current = _files(spark, f"{root}/CURRENT")[1]
-    if fs.exists(current):
-        fs.delete(current, True)
-    fs.rename(_files(spark, f"{root}/.CURRENT-new")[1], current)
-    return f"{root.rstrip('/')}/{version}"
+    jvm = spark.sparkContext._jvm
+    fresh, current = (_files(spark, f"{root}/{name}")[1] for name in (f".CURRENT-{uuid.uuid4().hex}", "CURRENT"))
+    out = fs.create(fresh, False)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri() if folder.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(fresh), fs.makeQualified(current), over)
+    return f"{root}/{version}"
 
 
 def published(spark: SparkSession, root: str) -> Store:
-    return Store(spark, f"{root.rstrip('/')}/{spark.read.parquet(f'{root}/CURRENT').first().version}")
+    root = root.rstrip("/")
+    return Store(spark, f"{root}/{spark.read.text(f'{root}/CURRENT').first().value}")
+
+
+def dated(spark: SparkSession, src: DataFrame | str | Sequence[str], root: str, day: date | None = None, **options) -> str:
+    """Builds the version of a day below ``root`` and publishes it; returns its folder."""
+    version = f"v{day or date.today():%Y-%m-%d}"
+    build_store(spark, src, f"{root.rstrip('/')}/{version}", **options)
+    return publish(spark, root, version)

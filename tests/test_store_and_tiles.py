@@ -1,8 +1,13 @@
+from datetime import date
+
+import numpy as np
 import pytest
+from faunagrid.functions.h3core import cell_to_latlng
 from faunagrid.plans import registry, tiles
-from faunagrid.plans.store import Store, base_records, build_store, publish, published
+from faunagrid.plans.store import Store, base_records, build_store, dated, publish, published
 from faunagrid.plans.tiles import TileRequest, checked_sql, decode_tile_url, h3j, serve, tile_query, tile_sql, tile_url
 from faunagrid.schema import IDX, INDEX_RES, INDICATORS, OCC
+from pyspark.sql import functions as F
 
 from tests.oracle import SF_DIR
 
@@ -53,11 +58,11 @@ def test_region_and_paths(spark, tmp_path):
 @pytest.mark.parametrize("filters", [{}, {"taxon": {"class": "Brand#2"}, "years": (1996, None)}, {"taxon": {"phylum": ["ECONOMY", "PROMO"]}}])
 def test_urls_serve_what_requests_compute(store, indicator, filters):
     request = TileRequest(indicator, res_max=6, **filters)
-    url = tile_url("h3tiles://host/{z}/{x}/{y}.h3t", request, release="v1", db="obis")
-    assert url.startswith("h3tiles://host/{z}/{x}/{y}.h3t?q=") and url.endswith("&release=v1&db=obis")
+    url = tile_url("https://tiles.example.org/{z}/{x}/{y}", request, release="r7", db="fauna")
+    assert url.startswith("https://tiles.example.org/{z}/{x}/{y}?q=") and url.endswith("&release=r7&db=fauna")
     assert decode_tile_url(url) == tile_sql(request)
     for res in (2, 5, 9):
-        assert rows(serve({"obis": store}, url, res)) == rows(tile_query(store, request, res))
+        assert rows(serve({"fauna": store}, url, res)) == rows(tile_query(store, request, res))
 
 
 def test_sql_text():
@@ -74,7 +79,7 @@ def test_no_value_becomes_sql(store, value):
     request = TileRequest("n", {"genus": value})
     assert tile_query(store, request, 5).count() == 0
     try:
-        assert serve({"obis": store}, tile_url("x", request), 5).count() == 0
+        assert serve({"fauna": store}, tile_url("x", request), 5).count() == 0
     except ValueError:
         pass  # refused
 
@@ -83,9 +88,88 @@ def test_requests_are_checked():
     for bad in ({"taxon": {"badrank": "x"}}, {"taxon": {"class": []}}, {"indicator": "sh"}, {"years": (1,)}, {"esn": "50; DROP"}):
         with pytest.raises(ValueError):
             TileRequest(**bad)
-    for text in ("DROP TABLE x", "SELECT 1; SELECT 2", "SELECT 1 -- x", "WITH a AS (SELECT 1) INSERT INTO b SELECT * FROM a"):
-        with pytest.raises(ValueError):
-            checked_sql(text, 3)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "DROP TABLE x",
+        "SELECT 1; SELECT 2",
+        "WITH a AS (SELECT 1) INSERT INTO b SELECT * FROM a",
+        "SET spark.sql.ansi.enabled=false",
+        "SELECT cell_id, reflect('java.lang.System', 'getProperty', 'user.dir') AS value, n FROM idx_h3",
+        "SELECT cell_id, java_method('java.lang.System', 'getProperty', 'user.dir') AS value, n FROM idx_h3",
+        "SELECT cell_id, try_reflect('java.lang.System', 'getProperty', 'user.dir') AS value, n FROM idx_h3",
+        "SELECT cell_id, sp AS value, n FROM parquet.`/root/testdata/sf0.001/region.parquet`",
+        "SELECT cell_id, sp AS value, n FROM text.\"/etc/passwd\"",
+        "SELECT id AS cell_id, 1 AS value, 1 AS n FROM range(1000000000)",
+        "SELECT cell_id, (SELECT max(value) FROM text.`/etc/passwd`) AS value, n FROM idx_h3",
+        "SELECT cell_id, sp AS value, n FROM idx_h3 WHERE cell_id IN (SELECT cell_id FROM other)",
+        "SELECT cell_id, sp AS value, n FROM other",
+        "SELECT a.cell_id, 1 AS value, 1 AS n FROM idx_h3 a, text.`/etc/passwd` b",
+        "SELECT TRANSFORM(cell_id) USING 'cat' AS (cell_id) FROM idx_h3",
+        "WITH t AS (SELECT * FROM csv.`/etc/passwd`) SELECT 1 AS cell_id, 1 AS value, 1 AS n FROM t",
+        "SELECT cell_id, input_file_name() AS value, n FROM idx_h3",
+        "SELECT cell_id, value, n FROM idx_h3 LATERAL VIEW explode(array(1)) t AS value",
+        "SELECT cell_id, x -> x AS value, n FROM idx_h3",
+        "VALUES (1, 2, 3)",
+        "SELECT 'a\\' OR 1=1 --' AS cell_id",
+    ],
+)
+def test_other_sql_is_refused(spark, store, text):
+    with pytest.raises(ValueError):
+        serve({"fauna": store}, tile_url("x", sql=text), 3)
+    with pytest.raises(ValueError):
+        checked_sql(spark.newSession(), text, 3)
+
+
+def test_own_sql_is_served_in_a_box_and_capped(spark, store):
+    url = tile_url("x", sql="SELECT cell_id, MAX(sp) AS value, MAX(n) AS n FROM idx_h3 WHERE res = {{res}} AND n BETWEEN 1 AND 100000 GROUP BY cell_id")
+    every = serve({"fauna": store}, url, 6).collect()
+    assert len(every) == store.idx().where("res = 6").count() > 3
+    centres = {r.cell_id: r.c for r in store.idx().where("res = 6").select("cell_id", cell_to_latlng(F.col("cell_id")).alias("c")).collect()}
+    box = (-100.0, 50.0, 60.0, 85.0)
+    inside = sorted(k for k, c in centres.items() if c.lng is not None and -100 <= c.lng <= 60 and 50 <= c.lat <= 85)
+    assert 0 < len(inside) < len(every)
+    assert sorted(r.cell_id for r in serve({"fauna": store}, url, 6, box).collect()) == inside
+    assert [r.cell_id for r in serve({"fauna": store}, url, 6, box, 2).collect()] == inside[:2]
+    assert not spark.catalog.tableExists("idx_h3")  # nothing is left in the caller's session
+
+
+def test_levels_are_rolled_up_once(spark, store):
+    """Each level is computed from the finer one, whose rows are dealt once: the source is read once or twice, not by each level."""
+    from faunagrid.plans.store import index_of
+
+    index = index_of(base_records(registry._occurrences(spark, SF_DIR)))
+    index.collect()
+    plan = index._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 5 and plan.count("FileScan") <= 4
+
+
+def test_samples_are_exact_and_agree(spark):
+    from faunagrid.operators.datasets import sample_exactly
+
+    df = spark.range(5000).select((F.col("id") % 700).alias("a"), F.lit("x").alias("b"))
+    rows = sorted(df.collect())
+    for n in (0, 1, 77, 4999, 5000, 9000):
+        got = sorted(sample_exactly(df, n).collect())
+        assert len(got) == min(n, 5000) and got == sorted(sample_exactly(df.repartition(3), n).collect())
+        assert not [x for x in {*got} if got.count(x) > rows.count(x)]
+    same = spark.range(3000).select(F.lit(1).alias("a"))
+    assert sample_exactly(same, 1234).count() == 1234
+
+
+def test_stats_are_exact(spark):
+    from faunagrid.operators.indicators import summary
+
+    for values in ([], [None], [3.0], [1.0, 2.0], [float(i * i % 997) for i in range(4000)], [1.0] * 50 + [2.0] * 3000):
+        got = summary(spark.createDataFrame([(x,) for x in values], "value double")).first()
+        known = np.array([x for x in values if x is not None])
+        assert got.n == len(known)
+        if len(known):
+            assert tuple(got)[:4] == pytest.approx((known.min(), known.max(), *np.quantile(known, [0.02, 0.98])))
+        else:
+            assert tuple(got)[:4] == (None,) * 4
 
 
 def test_json_document(store):
@@ -99,6 +183,10 @@ def test_publishing(spark, store, tmp_path):
     root = store.path.rsplit("/", 1)[0]
     publish(spark, root, "one")
     assert published(spark, root).path == store.path
+    folder = dated(spark, registry._occurrences(spark, SF_DIR), root, date(2024, 5, 6), region_bbox=(0, 0, 90, 45))
+    assert folder.endswith("/v2024-05-06") and published(spark, root).path == folder
+    publish(spark, f"file://{root}", "one")  # over the file of the last one
+    assert published(spark, root).path == store.path
     with pytest.raises(FileNotFoundError):
         publish(spark, root, "none")
 
