@@ -23,12 +23,16 @@ def lgamma(x: Column) -> Column:
 
 
 def missed(n: Column, ni: Column, m: float) -> Column:
-    """C(n - ni, m) / C(n, m): the share of samples of m records without the species."""
+    """C(n - ni, m) / C(n, m): the share of samples of m records without the species.
+
+    The same as C(n - m, ni) / C(n, ni), so that the product has as many factors as the smaller of m and ni.
+    """
     if float(m).is_integer() and m >= 0:
-        if m == 0:
-            return F.lit(1.0)
-        steps = F.sequence(F.lit(0), F.lit(int(m) - 1))
-        return F.aggregate(steps, F.lit(1.0), lambda product, k: product * ((n - ni - k).cast("double") / (n - k)))
+        fewer = (ni < int(m)) & (F.floor(ni) == ni)
+        factors = F.when(fewer, ni).otherwise(F.lit(int(m))).cast("int")
+        left = n - F.when(fewer, F.lit(int(m))).otherwise(ni)
+        product = F.aggregate(F.sequence(F.lit(0), factors - 1), F.lit(1.0), lambda done, k: done * ((left - k).cast("double") / (n - k)))
+        return F.when(factors > 0, product).otherwise(1.0)
     return F.exp(lgamma(n - ni + 1) + lgamma(n - m + 1) - lgamma(n - ni - m + 1) - lgamma(n + 1))
 
 

@@ -54,7 +54,23 @@ def calc_indicators(df: DataFrame, esn: float = ESN) -> DataFrame:
 
 
 def summary(df: DataFrame, column: str = "value") -> DataFrame:
-    """Least and largest value, quantiles of 2 and 98 percent (interpolated), and how many there are."""
-    quantiles = F.percentile(column, F.array(F.lit(0.02), F.lit(0.98)))
-    found = df.agg(F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"), quantiles.alias("q"), F.count(column).alias("n"))
-    return found.select("min", "max", F.col("q")[0].alias("p02"), F.col("q")[1].alias("p98"), "n")
+    """Least and largest value, quantiles of 2 and 98 percent (interpolated), and how many there are: one row."""
+    values = df.select(F.col(column).cast("double").alias("value")).where("value IS NOT NULL")
+    least, most, n = values.agg(F.min("value"), F.max("value"), F.count("*")).first()
+    found = [least, most, *(quantile(values, share, n) if n else None for share in (0.02, 0.98)), n]
+    return df.sparkSession.createDataFrame([found], "min double, max double, p02 double, p98 double, n long")
+
+
+def quantile(values: DataFrame, share: float, n: int, error: float = 1e-3) -> float:
+    """The interpolated quantile of n values, exactly; only values between two approximate quantiles around it are sorted."""
+    place = share * (n - 1)
+    wanted = int(place)
+    low, high = values.approxQuantile("value", [max(0.0, share - 2 * error), min(1.0, share + 2 * error)], error)
+    below, upto = values.agg(F.count_if(F.col("value") < low), F.count_if(F.col("value") <= high)).first()
+    if below > wanted or upto < min(n, wanted + 2):  # of few values the approximate ones may lie on one side
+        below, near = 0, values
+    else:
+        near = values.where(F.col("value").between(low, high))
+    near = near.orderBy("value").offset(wanted - below).limit(2).collect()
+    first, second = near[0].value, near[-1].value
+    return first + (second - first) * (place - wanted)
