@@ -7,7 +7,6 @@ years, flags and ids in the bit layout of a hexagonal grid. Both engines read th
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +19,7 @@ from faunagrid.operators import datasets, grid, indicators
 from faunagrid.plans import store as stores
 from faunagrid.plans import tiles
 from faunagrid.schema import INDEX_RES, INDICATORS, RANKS, TIERS
+from faunagrid.scratch import new_path
 from faunagrid.sources import occurrences
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,8 @@ _STEP = "CAST(4503599627370496 AS BIGINT)"  # 2^52, one resolution
 
 #: Occurrences from lineitem and part; the cell is a made-up one of resolution 7.
 OCCURRENCES = f"""
-SELECT CAST((l_suppkey * 37) % 360 - 180 AS DOUBLE) AS decimalLongitude,
- CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE CAST((l_suppkey * 53) % 180 - 90 AS DOUBLE) END AS decimalLatitude,
+SELECT CAST((l_suppkey * 37 + l_partkey * 11) % 360 - 180 AS DOUBLE) AS decimalLongitude,
+ CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE CAST((l_suppkey * 53 + l_partkey * 7) % 180 - 90 AS DOUBLE) END AS decimalLatitude,
  CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE p_name END AS species,
  l_partkey AS AphiaID, p_type AS phylum, p_brand AS class, CAST(year(l_shipdate) AS SMALLINT) AS date_year,
  CAST(l_quantity AS BIGINT) AS records,
@@ -38,6 +38,8 @@ SELECT CAST((l_suppkey * 37) % 360 - 180 AS DOUBLE) AS decimalLongitude,
  576460752303423488 + 7 * {_STEP} + (l_suppkey % 5) * 35184372088832
  + {" + ".join(f"CAST(FLOOR(l_suppkey / CAST({7**k} AS DOUBLE)) % 7 AS BIGINT) * {1 << 24 + 3 * k}" for k in range(6))} + 16777215 AS cell_id
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
+#: The same, with years that go back to the sixties.
+EARLIER = OCCURRENCES.replace("CAST(year(l_shipdate) AS SMALLINT)", "CAST(year(l_shipdate) + 16 - 12 * (l_partkey % 5) AS SMALLINT)")
 EVENTS = "SELECT user_id AS cell, event_type AS species, 1 AS records FROM events"
 
 _VALID = "species IS NOT NULL AND decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL"
@@ -68,6 +70,10 @@ def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return occurrences.normalise(_occurrences(spark, sf_dir))
 
 
+def _earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return occurrences.normalise(_sql(spark, sf_dir, EARLIER))
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stores.base_records(_occurrences(spark, sf_dir))
 
@@ -217,8 +223,8 @@ def _lgamma(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = _occurrences(spark, sf_dir).select(cell_to_string(cell_to_parent("cell_id", 3)).alias("hexid")).distinct().withColumn("geometry", F.lit("POLYGON EMPTY"))
-    found = _base(spark, sf_dir).select(cell_to_string(cell_to_parent("cell_id", 3)).alias("cell"), "species", "records")
+    cells = _occurrences(spark, sf_dir).select(cell_to_string(cell_to_parent("cell_id", 6)).alias("hexid")).distinct().withColumn("geometry", F.lit("POLYGON EMPTY"))
+    found = _base(spark, sf_dir).select(cell_to_string(cell_to_parent("cell_id", 6)).alias("cell"), "species", "records")
     joined = grid.join_grid(cells, indicators.calc_indicators(found))
     return _even(joined.select("hexid", "n", "sp", "shannon"))
 
@@ -255,11 +261,40 @@ def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.occurrence_sample(_normal(spark, sf_dir), 500)
 
 
+def _sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a sample of duplicates' counts: how many rows it has, how many of them differ, and how many are rows of the whole."""
+    whole = datasets.count_duplicates(_normal(spark, sf_dir))
+    sample = datasets.sample_exactly(whole, 500)
+    return sample.agg(F.count("*").alias("rows")).crossJoin(sample.distinct().agg(F.count("*").alias("distinct_rows"))).crossJoin(sample.intersect(whole).agg(F.count("*").alias("found")))
+
+
+_STORES: dict[tuple[str, str], stores.Store] = {}
+
+
+def written_store(spark: SparkSession, sf_dir: str) -> stores.Store:
+    """A store of the driver's tables on shared storage, built once for each application and folder of tables."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _STORES:
+        path = new_path(spark, "store")
+        stores.build_store(spark, _occurrences(spark, sf_dir), path)
+        _STORES[key] = stores.Store(spark, path)
+    return _STORES[key]
+
+
+def _from_store(indicator: str, res: int, **request) -> Query:
+    return lambda spark, sf_dir: _even(tiles.tile_query(written_store(spark, sf_dir), tiles.TileRequest(indicator, **request), res))
+
+
+def _served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tile as a server gives it: from a URL, over a written store, the first cells by id."""
+    store = written_store(spark, sf_dir)
+    url = tiles.tile_url("https://tiles.example.org/{z}/{x}/{y}", tiles.TileRequest("sp", **_FILTERED), db="fauna")
+    return _even(tiles.serve({"fauna": store}, url, 6, max_rows=20))
+
+
 def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The indicator layer of a store that is built, written and read again."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="faunagrid-store-")
-    path = stores.build_store(spark, _occurrences(spark, sf_dir), f"{root.rstrip('/')}/store-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}")
-    return _even(stores.Store(spark, path).idx().withColumn("res", F.col("res").cast("int")).select("res", "cell_id", "n", "sp", "shannon", "simpson", "es"))
+    return _even(written_store(spark, sf_dir).idx().withColumn("res", F.col("res").cast("int")).select("res", "cell_id", "n", "sp", "shannon", "simpson", "es"))
 
 
 def _flat(choose: Callable[[DataFrame], DataFrame]) -> Query:
@@ -326,7 +361,7 @@ def _pairs() -> dict[str, tuple[Query, str | None]]:
         "tile_filtered_res_0": (_tile("sp", 0, **_FILTERED), _tile_sql(0, "sp", _FILTERED_SQL)),
         "tile_stats": (
             lambda s, d: _even(tiles.tile_stats(_InMemory(s, d), tiles.TileRequest("shannon"), 6)),
-            f"SELECT {_round('min(value)')} AS min, {_round('max(value)')} AS max, {_round('quantile_cont(value, 0.02)')} AS p02, {_round('quantile_cont(value, 0.98)')} AS p98, count(value) AS n FROM ({_tile_sql(6, 'shannon')})",
+            f"SELECT {_round('min(value)')} AS min, {_round('max(value)')} AS max, {_round('quantile_cont(value, 0.02)')} AS p02, {_round('quantile_cont(value, 0.98)')} AS p98, count(value) AS n FROM ({_tile_sql(6, 'shannon').replace(_MEASURES['shannon'], 'sum(-p * ln(p))')})",
         ),
         "tile_json": (
             lambda s, d: tiles.tile_json(tiles.tile_query(_InMemory(s, d), tiles.TileRequest("n"), 6)),
@@ -334,10 +369,18 @@ def _pairs() -> dict[str, tuple[Query, str | None]]:
         ),
         "grid_join": (
             _grid_join,
-            _indicator_sql(f"SELECT lower(hex({_parent_sql('cell_id', 3)})) AS hexid, species, sum(records) AS ni FROM ({_BASE_SQL}) GROUP BY 1, 2", "hexid", ["n", "sp", "shannon"]),
+            _indicator_sql(f"SELECT lower(hex({_parent_sql('cell_id', 6)})) AS hexid, species, sum(records) AS ni FROM ({_BASE_SQL}) GROUP BY 1, 2", "hexid", ["n", "sp", "shannon"]),
         ),
         "map_layer": (_map_layer, f"SELECT CAST(cell AS VARCHAR) AS hexid, {_round('log10(v)')} AS fill, 'ES50' AS label FROM ({_indicator_sql(_EVENT_TOTALS, 'cell', ['es']).replace(_MEASURES['es'] + ' AS es', 'sum(esi) AS v')})"),
         "sample_exact_n": (_sample, None),
+        "sample_counts": (_sample_counts, f"SELECT least(500, count(*)) AS rows, least(500, count(*)) AS distinct_rows, least(500, count(*)) AS found FROM ({_DUPLICATES.format(OCCURRENCES, '')})"),
+        "store_tile_es": (_from_store("es", 6), _tile_sql(6, "es")),
+        "store_tile_filtered_shannon": (_from_store("shannon", 4, **_MULTI), _tile_sql(4, "shannon", _MULTI_SQL)),
+        "store_tile_stats": (
+            lambda s, d: _even(tiles.tile_stats(written_store(s, d), tiles.TileRequest("es"), 7)),
+            f"SELECT {_round('min(value)')} AS min, {_round('max(value)')} AS max, {_round('quantile_cont(value, 0.02)')} AS p02, {_round('quantile_cont(value, 0.98)')} AS p98, count(value) AS n FROM ({_tile_sql(7, 'es').replace(_MEASURES['es'], 'sum(esi)')})",
+        ),
+        "served_tile": (_served, f"SELECT * FROM ({_tile_sql(6, 'sp', _FILTERED_SQL)}) ORDER BY cell_id LIMIT 20"),
         "latlng_to_cell": (_places, None),
         "binned_index": (_binned, None),
         "make_grid": (lambda s, d: grid.make_grid(s, 2), None),
@@ -353,6 +396,8 @@ def _pairs() -> dict[str, tuple[Query, str | None]]:
             lambda s, d, first=first: datasets.between_years(datasets.count_duplicates(_normal(s, d)), first, first + 2),
             _DUPLICATES.format(OCCURRENCES, f" AND date_year BETWEEN {first} AND {first + 2}"),
         )
+    for name, (first, last) in datasets.DECADES.items():
+        found[f"decade_{name}"] = (lambda s, d, name=name: datasets.decade(_earlier(s, d), name), _DUPLICATES.format(EARLIER, f" AND date_year BETWEEN {first} AND {last}"))
     for indicator in INDICATORS:
         found[f"tile_default_{indicator}"] = (_tile(indicator, 6), _tile_sql(6, indicator))
         found[f"tile_filtered_{indicator}"] = (_tile(indicator, 6, **_FILTERED), _tile_sql(6, indicator, _FILTERED_SQL))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 #: Results do not depend on these but for the time zone and ANSI errors.
@@ -15,9 +17,9 @@ SETTINGS = {
 }
 
 
-def create(master: str | None = None, app: str = "faunagrid", **settings: str) -> SparkSession:
-    """A session with the engine's settings; names of further settings have _ for the dots."""
-    builder = SparkSession.builder.appName(app).config(map=SETTINGS | {k.replace("_", "."): v for k, v in settings.items()})
+def create(master: str | None = None, app: str = "faunagrid", settings: Mapping[str, str] | None = None) -> SparkSession:
+    """A session with the engine's settings and others."""
+    builder = SparkSession.builder.appName(app).config(map=SETTINGS | dict(settings or {}))
     return (builder.master(master) if master else builder).getOrCreate()
 
 
