@@ -15,6 +15,21 @@ def test_known_cells():
     assert h.encode(np.array([37.3615593]), np.array([-122.0553238]), 5)[0] == 0x85283473FFFFFFF
 
 
+def test_published_centres_and_corners():
+    """Examples of the public specification's own documentation."""
+    assert h.encode(np.array([40.689167]), np.array([-74.044444]), 10)[0] == 0x8A2A1072B59FFFF
+    lat, lng = h.decode(np.array([0x85283473FFFFFFF]))
+    assert (lat[0], lng[0]) == pytest.approx((37.34579337536848, -121.97637597255124), abs=1e-9)
+    corners = {
+        0x85283473FFFFFFF: [(37.271355866731895, -121.91508032705622), (37.353926450852256, -121.86222328902491), (37.42834118609435, -121.9235499963016), (37.42012867767778, -122.0377349642703), (37.33755608435298, -122.09042892904395), (37.26319797461824, -122.02910130919)],
+        0x8A2A1072B59FFFF: [(40.690058601, -74.044151762), (40.689907695, -74.045061792), (40.689270936, -74.045341418), (40.688785091, -74.044711031), (40.688935993, -74.043801021), (40.689572744, -74.043521377)],
+    }
+    for cell, expected in corners.items():
+        ring = [(lat, lng) for lng, lat in h.boundary(np.array([cell]))[0].tolist()]
+        start = min(range(6), key=lambda k: np.abs(np.array(ring[k]) - expected[0]).sum())
+        assert np.array(ring[start:] + ring[:start]) == pytest.approx(np.array(expected), abs=2e-9)
+
+
 def test_base_cells_are_ordered_and_opposite():
     t = h.tables()
     centres = h._from_plane(t.home, h._point(t.start))
