@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,32 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faunagrid.scratch import drop_path, new_path
+
 #: What Spark hands to a Python worker at a time: texts are whole, so both bounds are below its own.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which the driver and all executors share."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path there, deleted when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/faunagrid-{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to shared storage and read again: computed once, and not lost with an executor."""
     path = new_path(df.sparkSession, name)
