@@ -459,6 +459,21 @@ def cell_boundary_wkt(cell: Column) -> Column:
     return outlines(cell)
 
 
+def cell_corners(cell: Column) -> Column:
+    """The corners of a cell, an array of (lng, lat) in degrees; NULL for what is no cell."""
+
+    @F.pandas_udf("array<struct<lng: double, lat: double>>")
+    def corners(cells: pd.Series) -> pd.Series:
+        ids, missing = cells.fillna(0).astype("int64").to_numpy(), cells.isna().to_numpy()
+        good = np.flatnonzero(~missing & valid(ids))
+        out = [None] * len(ids)
+        for at, ring in zip(good, boundary(ids[good]), strict=True):
+            out[at] = [{"lng": x, "lat": y} for x, y in ring.tolist()]
+        return pd.Series(out, dtype=object)
+
+    return corners(cell)
+
+
 def all_cells(spark: SparkSession, res: int) -> DataFrame:
     """(cell_id): the 2 + 120 * 7^res cells of a resolution, counted out by Spark."""
     if not 0 <= res <= MAX_RES:

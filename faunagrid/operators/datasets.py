@@ -60,5 +60,22 @@ def florida_keys_as_published(df: DataFrame) -> DataFrame:
     return within(count_duplicates(df), FLORIDA_KEYS_AS_PUBLISHED)
 
 
+def write_datasets(df: DataFrame, root: str, n: int = SAMPLE) -> dict[str, str]:
+    """Writes all named datasets of a normalised source below ``root``, over older ones; returns their folders.
+
+    Duplicates are counted once, into ``root``/occ, from which the others are drawn.
+    """
+    spark = df.sparkSession
+    paths = {"occ": f"{root.rstrip('/')}/occ"}
+    count_duplicates(df).write.mode("overwrite").parquet(paths["occ"])
+    whole = spark.read.parquet(paths["occ"])
+    made = {"occ_1M": sample_exactly(whole, n), "occ_SAtlantic": within(whole, SOUTH_ATLANTIC), "occ_fk": within(whole, FLORIDA_KEYS_AS_PUBLISHED)}
+    made |= {f"occ_{name}": sample_exactly(between_years(whole, *years), n) for name, years in DECADES.items()}
+    for name, rows in made.items():
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        rows.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
 def decade(df: DataFrame, name: str, n: int = SAMPLE) -> DataFrame:
     return sample_exactly(between_years(count_duplicates(df), *DECADES[name]), n)

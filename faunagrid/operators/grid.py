@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faunagrid.functions.cells import cell_to_string
-from faunagrid.functions.h3core import all_cells, cell_boundary_wkt
+from faunagrid.functions.h3core import all_cells, cell_boundary_wkt, cell_corners
+from faunagrid.functions.projection import robinson
 
 #: Legend transformations by name.
 TRANSFORMS = {
@@ -44,6 +45,13 @@ def map_layer(grid: DataFrame, column: str = "shannon", label: str = "Shannon in
     return grid.select("hexid", "geometry", fill.alias("fill"), F.lit(label).alias("label"))
 
 
+def projected_extent(cells: DataFrame, cell: str = "cell_id") -> DataFrame:
+    """The bounding box, in metres, of the corners of cells on a Robinson map."""
+    corners = cells.select(F.explode(cell_corners(F.col(cell))).alias("c"))
+    x, y = robinson(F.col("c.lng"), F.col("c.lat"))
+    return extent(corners.select(x.alias("x"), y.alias("y")), "x", "y")
+
+
 def extent(points: DataFrame, lng: str = "lng", lat: str = "lat") -> DataFrame:
     """The bounding box of points."""
     return points.agg(F.min(lng).alias("xmin"), F.min(lat).alias("ymin"), F.max(lng).alias("xmax"), F.max(lat).alias("ymax"))

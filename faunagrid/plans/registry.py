@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from faunagrid.functions.cells import cell_to_parent, cell_to_string, resolution, string_to_cell
 from faunagrid.functions.h3core import all_cells, cell_to_latlng, latlng_to_cell
+from faunagrid.functions.projection import DISTANCE, FACTORS, LENGTH, RADIUS, robinson
 from faunagrid.functions.stats import es_term, lgamma
 from faunagrid.operators import datasets, grid, indicators
 from faunagrid.plans import store as stores
@@ -242,6 +243,25 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centred.select("lng", "lat", "res", "cell_id", cell_to_string("cell_id").alias("hexid"), F.round("centre.lng", 6).alias("centre_lng"), F.round("centre.lat", 6).alias("centre_lat"))
 
 
+#: The Robinson projection of whole degrees in SQL, by cubics through four rows of its table.
+_ROBINSON_SQL = f"""
+WITH places AS (SELECT DISTINCT decimalLongitude AS lng, decimalLatitude AS lat FROM ({OCCURRENCES}) WHERE decimalLatitude IS NOT NULL),
+placed AS (SELECT *, abs(lat) / 5 AS steps, least(floor(abs(lat) / 5), 16) AS low FROM places),
+held AS (
+    SELECT lng, lat, steps - low AS s, CAST(low AS INTEGER) AS k,
+      [{", ".join(map(str, (LENGTH[1], *LENGTH)))}] AS length, [{", ".join(map(str, (-DISTANCE[1], *DISTANCE)))}] AS distance FROM placed
+), bent AS (
+    SELECT lng, lat, {", ".join(f"{v}[k + 1] * s * (s - 1) * (s - 2) / -6 + {v}[k + 2] * (s + 1) * (s - 1) * (s - 2) / 2 - {v}[k + 3] * (s + 1) * s * (s - 2) / 2 + {v}[k + 4] * (s + 1) * s * (s - 1) / 6 AS {v}" for v in ("length", "distance"))} FROM held
+)
+SELECT lng, lat, round({FACTORS[0]} * {RADIUS} * length * radians(lng), 3) + 0.0 AS x, round({FACTORS[1]} * {RADIUS} * distance * sign(lat), 3) + 0.0 AS y FROM bent"""
+
+
+def _robinson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = _occurrences(spark, sf_dir).where("decimalLatitude IS NOT NULL").select(F.col("decimalLongitude").alias("lng"), F.col("decimalLatitude").alias("lat")).distinct()
+    x, y = robinson(F.col("lng"), F.col("lat"))
+    return places.select("lng", "lat", (F.round(x, 3) + 0.0).alias("x"), (F.round(y, 3) + 0.0).alias("y"))
+
+
 def _binned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The indicator layer of occurrences binned by their own places."""
     base = stores.base_records(_occurrences(spark, sf_dir).drop("cell_id"))
@@ -382,6 +402,8 @@ def _pairs() -> dict[str, tuple[Query, str | None]]:
         ),
         "served_tile": (_served, f"SELECT * FROM ({_tile_sql(6, 'sp', _FILTERED_SQL)}) ORDER BY cell_id LIMIT 20"),
         "latlng_to_cell": (_places, None),
+        "robinson_points": (_robinson, _ROBINSON_SQL),
+        "projected_extent": (lambda s, d: grid.projected_extent(_occurrences(s, d).select("cell_id").distinct()), None),
         "binned_index": (_binned, None),
         "make_grid": (lambda s, d: grid.make_grid(s, 2), None),
         "grid_cell_counts": (_grid_counts, "SELECT r AS res, CAST(2 + 120 * power(7, r) AS BIGINT) AS cells, CAST(2 + 120 * power(7, greatest(r - 1, 0)) AS BIGINT) AS parents FROM (SELECT CAST(unnest(range(5)) AS INTEGER) AS r)"),

@@ -103,3 +103,33 @@ def test_grid_and_map(spark):
     assert 0 < shown.count() < 60 and in_tile(cells.select("cell_id"), (0, 0, 40, 40), 5).count() == 5
     box = extent(cells.select(h.cell_to_latlng(F.col("cell_id")).alias("c")).select("c.lat", "c.lng")).first()
     assert -180 <= box.xmin < box.xmax <= 180 and box.ymax < 90
+
+
+def test_robinson(spark):
+    from faunagrid.functions.projection import DISTANCE, LENGTH, RADIUS, robinson
+    from faunagrid.operators.grid import projected_extent
+
+    rows = [(float(lng), float(lat)) for lng in (-180, -30, 0, 180) for lat in range(-90, 91, 5)] + [(0.0, 91.0), (None, 0.0), (190.0, 0.0)]
+    df = spark.createDataFrame(rows, "lng double, lat double")
+    x, y = robinson(F.col("lng"), F.col("lat"))
+    for r in df.select("lng", "lat", x.alias("x"), y.alias("y")).collect()[:-3]:
+        at = int(abs(r.lat) // 5)
+        assert r.x == pytest.approx(0.8487 * RADIUS * LENGTH[at] * np.radians(r.lng)) and r.y == pytest.approx(1.3523 * RADIUS * DISTANCE[at] * np.sign(r.lat))
+    last = df.select(x.alias("x"), y.alias("y")).collect()[-3:]
+    assert last[0].x is None and last[0].y is None and last[1].x is None and last[2].x == pytest.approx(0.8487 * RADIUS * np.radians(-170))
+    box = projected_extent(h.all_cells(spark, 1)).first()
+    assert box.ymax == pytest.approx(-box.ymin, rel=0.01) and 16_500_000 < box.xmax < 17_010_000 and 8_500_000 < box.ymax < 8_630_000
+
+
+def test_datasets_are_written(spark, tmp_path):
+    from faunagrid.operators import datasets
+    from faunagrid.plans import registry
+
+    source = registry._earlier(spark, "/root/testdata/sf0.001")
+    paths = datasets.write_datasets(source, str(tmp_path), n=300)
+    assert {*paths} == {"occ", "occ_1M", "occ_SAtlantic", "occ_fk", *(f"occ_{10 * k}s" for k in range(196, 202))}
+    assert spark.read.parquet(paths["occ_1M"]).count() == 300
+    assert spark.read.parquet(paths["occ_SAtlantic"]).count() == datasets.south_atlantic(source).count() > 0
+    years = spark.read.parquet(paths["occ_1990s"]).agg(F.min("date_year"), F.max("date_year"), F.count("*")).first()
+    assert 1990 <= years[0] <= years[1] <= 2000 and years[2] == 300
+    assert datasets.write_datasets(source, str(tmp_path), n=10) == paths and spark.read.parquet(paths["occ_1M"]).count() == 10
