@@ -5,18 +5,19 @@ from the start. A signature tree holds in its leaves documents of like size, and
 OR of their bitmaps, the range of set sizes and the largest number of tokens hidden by shared
 bits. Trees are traversed together, and a pair of nodes is left as soon as the largest possible
 overlap is too small, the sizes are too far apart, or both hold one linked group only. What
-traversals find is verified on whole sets. Trees are built over documents that share a key, three times:
+traversals find is verified on whole sets. Trees are built over documents that share a key, in three rounds:
 
 1. Keys are a few combinations of minimum hashes. Only leaders, the smallest documents that no
    other has taken, are looked up in the tree, so that a large group is linked without its pairs.
 2. Keys are prefix tokens: by the prefix filter, two sets can only reach the threshold if they share
    one of their first tokens in a common order, here rare tokens first (by a count sketch; any
-   order is right, a rarer one is faster). Tokens whose documents are all linked already are done.
-   Again leaders are looked up, for the tokens of many documents.
-3. The same keys, as far as they are still open, and every document is looked up: this makes the join exact.
+   order is right, a rarer one is faster). Tokens whose documents are all linked already are done. To
+   the trees of tokens of many documents come whole sets, so that links are verified as they are found, and
+   documents that are linked meanwhile are not compared: a tree gives at most as many links as documents.
+3. The tokens of a few documents, as far as they are still open: their trees give the pairs to verify.
 
-A key of many documents is dealt to blocks, of one linked group each where that has enough of them,
-and trees of blocks that hold the same group only are not brought together.
+Together, the second and the third make the join exact. A token of many documents is dealt to blocks, of one linked group
+each where that has enough of them, and trees of blocks that hold the same group only are not brought together.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing; a
 text of fewer words than a shingle has its whole sequence as the only one; a null id has no
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import groupby, islice
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +50,11 @@ STAR_ROWS, STAR_KEYS = 3, 5
 #: Logarithms of the least and the most cells of the count sketch, which grows with the text. Beyond the most, a task would
 #: send more than 4 MB; the order then tells tokens apart only if they are in more documents than others of a cell together.
 LEAST_CELLS, MOST_CELLS = 12, 21
-#: Documents of one key in one tree.
-BLOCK = 1024
+#: Documents of one key in one tree, and tokens in their sets, at about.
+BLOCK, BLOCK_TOKENS = 1024, 1 << 19
 LEAF = 8
-#: Documents of one token that are compared by size and place alone before trees are built; tokens of more have leaders.
+LEAST_BITS = 2048
+#: Documents that a token of a few documents has at most.
 SMALL = 64
 #: Sets verified against one at a time by one task.
 VERIFY = 256
@@ -216,7 +218,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     members = pairs.join(parts, "b").select("b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.col("a").alias("id"))
     centres = parts.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("b").alias("id"))
     asked = members.withColumn("role", F.lit(1)).unionByName(centres.withColumn("role", F.lit(0)))
-    held = asked.join(sets, "id").select("b", "part", "role", "id", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "role")
+    held = asked.join(sets.hint("merge"), "id").select("b", "part", "role", "id", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "role")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, centre = None, []
@@ -239,8 +241,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """A signature of at least two bits a token, as 64-bit words."""
-    bits = max(256, min(1 << 16, 1 << (2 * len(tokens) - 1).bit_length()))
+    """A signature of at least two bits a token, and 2048 of short texts, as 64-bit words."""
+    bits = max(LEAST_BITS, min(1 << 16, 1 << (2 * len(tokens) - 1).bit_length()))
     out = np.zeros(bits >> 6, np.uint64)
     at = (tokens >> np.uint64(20)) & np.uint64(bits - 1)
     np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
@@ -253,10 +255,10 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
 
 
 class Member:
-    __slots__ = ("comp", "hidden", "id", "n", "pos", "words")
+    __slots__ = ("comp", "hidden", "id", "n", "pos", "tokens", "words")
 
-    def __init__(self, own: int, comp: int, n: int, pos: int, words: np.ndarray) -> None:
-        self.id, self.comp, self.n, self.pos, self.words = own, comp, n, pos, words
+    def __init__(self, own: int, comp: int, n: int, pos: int, words: np.ndarray, tokens: np.ndarray | None = None) -> None:
+        self.id, self.comp, self.n, self.pos, self.words, self.tokens = own, comp, n, pos, words, tokens
         self.hidden = n - int(np.bitwise_count(words).sum())  # tokens that share a bit with others
 
 
@@ -328,18 +330,15 @@ def possible(a: Node, b: Node) -> bool:
     return int(np.bitwise_count(x & y).sum()) + max(0, min(h, k)) >= needed
 
 
-def candidates(a: Node, b: Node) -> Iterator[tuple[int, int]]:
-    """Pairs that may be alike, by traversing two trees together (or one with itself)."""
+def leaves(a: Node, b: Node) -> Iterator[tuple[Node, Node]]:
+    """Pairs of leaves that may hold documents alike, by traversing two trees together (or one with itself)."""
     stack = [(a, b)]
     while stack:
         a, b = stack.pop()
         if not possible(a, b):
             continue
         if a.members and b.members:
-            for i, x in enumerate(a.members):
-                for y in a.members[i + 1 :] if a is b else b.members:
-                    if may_be_alike(x, y):
-                        yield (x.id, y.id) if x.id > y.id else (y.id, x.id)
+            yield a, b
         elif a is b:
             parts = a.below
             stack += [(x, y) for i, x in enumerate(parts) for y in parts[i:]]
@@ -349,6 +348,36 @@ def candidates(a: Node, b: Node) -> Iterator[tuple[int, int]]:
             stack += [(a, x) for x in b.below]
 
 
+def candidates(a: Node, b: Node) -> Iterator[tuple[int, int]]:
+    """Pairs that may be alike."""
+    for p, q in leaves(a, b):
+        for i, x in enumerate(p.members):
+            for y in p.members[i + 1 :] if p is q else q.members:
+                if may_be_alike(x, y):
+                    yield (x.id, y.id) if x.id > y.id else (y.id, x.id)
+
+
+def links_of(a: Node, b: Node) -> Iterator[tuple[int, int]]:
+    """Pairs that are alike, by members' tokens, as far as earlier ones (or groups) do not link both ends already."""
+    parent: dict[int, int] = {}
+
+    def group(x: Member) -> int:
+        at = x.comp
+        while (up := parent.get(at, at)) != at:
+            parent[at] = at = parent.get(up, up)
+        return at
+
+    for p, q in leaves(a, b):
+        if len({group(x) for x in p.members} | {group(x) for x in q.members}) == 1:
+            continue
+        for i, x in enumerate(p.members):
+            for y in p.members[i + 1 :] if p is q else q.members:
+                one, other = group(x), group(y)
+                if one != other and may_be_alike(x, y) and alike(x.tokens, y.tokens):
+                    parent[max(one, other)] = min(one, other)
+                    yield (x.id, y.id) if x.id > y.id else (y.id, x.id)
+
+
 def lookup(root: Node, member: Member) -> Iterator[Member]:
     """What of a tree may be alike with a document, by traversing the tree with the tree of that one."""
     own = Node([member], [])
@@ -361,12 +390,9 @@ def lookup(root: Node, member: Member) -> Iterator[Member]:
             stack += node.below
 
 
-def led(members: list[Member], others: list[Member] | None = None) -> Iterator[tuple[int, int]]:
-    """Pairs (document, leader): each document of smallest id that none has taken leads those that may be alike with it.
-
-    Leaders are of ``members``, and look in the tree of ``others``, or of the members themselves.
-    """
-    root = tree(members if others is None else others)
+def led(members: list[Member]) -> Iterator[tuple[int, int]]:
+    """Pairs (document, leader): each document of smallest id that none has taken leads those that may be alike with it."""
+    root = tree(members)
     taken: set[int] = set()
     for leader in sorted(members, key=lambda x: x.id):
         if leader.id not in taken:
@@ -384,7 +410,7 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
     dealt = keyed.join(sizes, "star").select("rep", "star", F.when(F.col("rep") != F.col("least"), F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).alias("part"), "parts")
     # the smallest document of a key is in all its parts, so that it leads in each
     dealt = dealt.select("rep", "star", F.explode(F.when(F.col("part").isNotNull(), F.array("part")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))).alias("part"))
-    dealt = dealt.join(nodes.select("rep", "n", "words"), "rep").repartition("star", "part").sortWithinPartitions("star", "part")
+    dealt = dealt.join(nodes.select("rep", "n", "words").hint("merge"), "rep").repartition("star", "part").sortWithinPartitions("star", "part")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> Iterator[tuple[int, int]]:
@@ -396,11 +422,16 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
     return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
 
 
-def token_pairs(postings: DataFrame, nodes: DataFrame, every: bool) -> DataFrame:
-    """Pairs (a, b) to verify from postings (token, id, comp, n, pos): those of leaders, or ``every`` one that may be alike."""
-    of = postings.groupBy("token", "comp").agg(F.count("*").alias("size"))
-    own = of.where(F.col("size") >= BLOCK).select("token", "comp", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    pool = of.where(F.col("size") < BLOCK).groupBy("token").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("pooled"))
+def with_words(postings: DataFrame, nodes: DataFrame) -> DataFrame:
+    return postings.join(nodes.select(F.col("rep").alias("id"), "words").hint("merge"), "id")
+
+
+def token_links(postings: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between groups of documents that share a token, from postings (token, id, comp, n, pos) and (id, tokens)."""
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_TOKENS)).cast("int")
+    of = postings.groupBy("token", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("n"), parts.alias("parts"))
+    own = of.where(F.col("size") >= BLOCK).select("token", "comp", "parts")
+    pool = of.where(F.col("size") < BLOCK).groupBy("token").agg(F.ceil(F.greatest(F.sum("size") / BLOCK, F.sum("n") / BLOCK_TOKENS)).cast("int").alias("pooled"))
     label = F.xxhash64("owner", "part")
     blocks = own.select("token", F.col("comp").alias("owner"), "parts").unionByName(pool.select("token", F.lit(None).cast("long").alias("owner"), F.col("pooled").alias("parts")))
     blocks = blocks.select("token", "owner", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("token", "owner", label.alias("block"))
@@ -411,22 +442,34 @@ def token_pairs(postings: DataFrame, nodes: DataFrame, every: bool) -> DataFrame
     placed = postings.join(own, ["token", "comp"], "left").join(pool, "token", "left")
     placed = placed.withColumn("owner", F.when(F.col("parts").isNotNull(), F.col("comp"))).withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", "pooled")).cast("int"))
     placed = placed.select("token", "id", "comp", "n", "pos", label.alias("block")).join(sides, ["token", "block"])
-    dealt = placed.join(nodes.select(F.col("rep").alias("id"), "words"), "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    dealt = with_words(placed, nodes).join(sets.hint("merge"), "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> Iterator[tuple[int, int]]:
-            for (_, i, j), group in groupby(_rows(batches, "token", "i", "j", "block", "id", "comp", "n", "pos", "words"), key=lambda r: r[:3]):
+            for (_, i, j), group in groupby(_rows(batches, "token", "i", "j", "block", "id", "comp", "n", "pos", "words", "tokens"), key=lambda r: r[:3]):
                 sides: tuple[list[Member], list[Member]] = ([], [])
-                for _, _, _, block, own, comp, n, pos, words in group:
-                    sides[block != i].append(Member(own, comp, n, pos, np.frombuffer(words, np.uint64)))
-                if not every:
-                    if sides[0] and (i == j or sides[1]):
-                        yield from led(sides[0], sides[1] if i != j else None)
-                elif i == j:
+                for _, _, _, block, own, comp, n, pos, words, tokens in group:
+                    sides[block != i].append(Member(own, comp, n, pos, np.frombuffer(words, np.uint64), np.frombuffer(tokens, np.uint64)))
+                if i == j:
                     root = tree(sides[0])
-                    yield from candidates(root, root)
+                    yield from links_of(root, root)
                 elif sides[0] and sides[1]:
-                    yield from candidates(tree(sides[0]), tree(sides[1]))
+                    yield from links_of(tree(sides[0]), tree(sides[1]))
+
+        yield from _pair_rows(pairs())
+
+    return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
+
+
+def token_pairs(postings: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) to verify of documents of different groups that share one of the tokens, each of a few documents."""
+    dealt = with_words(postings, nodes).repartition("token").sortWithinPartitions("token")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[tuple[int, int]]:
+            for _, group in groupby(_rows(batches, "token", "id", "comp", "n", "pos", "words"), key=lambda r: r[0]):
+                root = tree([Member(own, comp, n, pos, np.frombuffer(words, np.uint64)) for _, own, comp, n, pos, words in group])
+                yield from candidates(root, root)
 
         yield from _pair_rows(pairs())
 
@@ -510,6 +553,7 @@ def _spans(tokens: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nd
 
 
 POSTINGS = "token long, id long, comp long, n long, pos long"
+MEETING = POSTINGS + ", many boolean"
 
 
 def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
@@ -542,41 +586,32 @@ def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def meeting(postings: DataFrame) -> DataFrame:
-    """The postings without those whose token brings together no two documents of fitting sizes and places.
+    """The postings without those whose token brings together no two documents of fitting sizes and places; and whether a token has ``many``.
 
     Needs no signatures, and leaves tokens of many documents to the trees.
     """
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for _, group in groupby(_rows(batches, "token", "id", "comp", "n", "pos"), key=lambda r: r[0]):
-            few = list(islice(group, SMALL + 1))
-            if len(few) > SMALL:
-                out += few
-                for row in group:
-                    out.append(row)
-                    if len(out) >= 10_000:
-                        yield _posting_rows(out)
-                        out = []
-                continue
-            meets = set()
-            for i, (_, _, comp, n, pos) in enumerate(few):
-                for j in range(i + 1, len(few)):
-                    _, _, other, m, at = few[j]
-                    if comp != other and 100 * min(n, m) >= PERCENT * max(n, m) and min(n - pos, m - at) >= overlap_needed(n, m):
-                        meets |= {i, j}
-            out += [few[i] for i in sorted(meets)]
-            if len(out) >= 10_000:
-                yield _posting_rows(out)
-                out = []
-        yield _posting_rows(out)
-
-    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), kept, POSTINGS)
-
-
-def _posting_rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "id", "comp", "n", "pos"])
+        def rows() -> Iterator[tuple]:
+            for _, group in groupby(_rows(batches, "token", "id", "comp", "n", "pos"), key=lambda r: r[0]):
+                few = list(islice(group, SMALL + 1))
+                if len(few) > SMALL:
+                    yield from ((*row, True) for row in chain(few, group))
+                    continue
+                meets = set()
+                for i, (_, _, comp, n, pos) in enumerate(few):
+                    for j in range(i + 1, len(few)):
+                        _, _, other, m, at = few[j]
+                        if comp != other and 100 * min(n, m) >= PERCENT * max(n, m) and min(n - pos, m - at) >= overlap_needed(n, m):
+                            meets |= {i, j}
+                yield from ((*few[i], False) for i in sorted(meets))
+
+        found = rows()
+        while some := [*islice(found, 10_000)]:
+            columns = [*zip(*some, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.bool_())], ["token", "id", "comp", "n", "pos", "many"])
+
+    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), kept, MEETING)
 
 
 # --- the join ---
@@ -611,32 +646,32 @@ def groups(docs: DataFrame) -> DataFrame:
     links = [stored(verified(pairs, sets_of(docs, ids)), "star-links")]
     dropped(pairs, ids)
 
-    # 2: leaders of prefix tokens
+    # 2: prefix tokens of many documents
     reps = nodes.select(F.col("rep").alias("id")).distinct()
-    held = stored(prefixes(docs, order).join(led_by(reps, links[0]), "id"), "prefixes")
+    held = stored(prefixes(docs, order).join(led_by(reps, links[0]).hint("merge"), "id"), "prefixes")
     total = held.agg(F.sum(F.length("prefix"))).first()[0] or 0
     shared = stored(shared_tokens(held, max(64, total // (8 * BUCKET_TOKENS))), "shared-tokens")
     postings = stored(meeting(open_postings(held, shared)), "postings")
     dropped(held, shared)
     ids = stored(postings.select("id").distinct(), "open-ids")
     sets = stored(sets_of(docs, ids), "open-sets")
-    many = postings.join(postings.groupBy("token").count().where(F.col("count") > SMALL).select(F.col("token").alias("of_many")), F.col("token") == F.col("of_many"), "left_semi")
-    pairs = stored(token_pairs(many, nodes, False), "led-pairs")
-    links.append(stored(verified(pairs, sets), "led-links"))
-    dropped(pairs)
+    links.append(stored(token_links(postings.where("many").drop("many"), nodes, sets), "token-links"))
 
-    # 3: every document, over the tokens that are still open
-    comps = stored(components(reduce(DataFrame.unionByName, links)), "led-groups")
+    # 3: prefix tokens of a few documents that are still open
+    comps = stored(components(reduce(DataFrame.unionByName, links)), "groups")
     grouped = ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
-    still = stored(meeting(postings.drop("comp").join(grouped, "id").select("token", "id", "comp", "n", "pos")), "open-postings")
-    pairs = stored(token_pairs(still, nodes, True), "tree-pairs")
-    last = stored(verified(pairs, sets), "tree-links")
-    dropped(pairs, still, postings, ids, sets)
+    few = postings.where("NOT many").drop("comp").join(grouped, "id").select("token", "id", "comp", "n", "pos")
+    still = stored(meeting(few), "open-postings")
+    pairs = stored(token_pairs(still, nodes), "token-pairs")
+    last = stored(verified(pairs, sets), "last-links")
+    dropped(pairs, still, postings, ids, sets, *links)
 
     joined = joined_by(comps, last).withColumnRenamed("node", "rep")
     labelled = nodes.join(joined, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     by_set = rows.join(labelled, ["k1", "k2"], "left")
-    return by_set.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    result = stored(by_set.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")), "linked")
+    dropped(found, nodes, comps, last)
+    return result
 
 
 def led_by(ids: DataFrame, links: DataFrame) -> DataFrame:
@@ -651,7 +686,7 @@ def joined_by(comps: DataFrame, links: DataFrame) -> DataFrame:
     if not links.take(1):
         return comps
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-    every = stored(comps.unionByName(ends.join(comps, "node", "left_anti").withColumn("component", F.col("node"))), "groups")
+    every = stored(comps.unionByName(ends.join(comps, "node", "left_anti").withColumn("component", F.col("node"))), "more-groups")
     x, y = (every.withColumnsRenamed({"node": end, "component": f"of_{end}"}) for end in ("a", "b"))
     touched = links.join(x, "a").join(y, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     over = components(touched).select(F.col("component").alias("over"), F.col("node").alias("component"))

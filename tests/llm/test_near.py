@@ -155,8 +155,38 @@ def test_leaders_take_a_group_without_its_pairs():
         members.append(near.Member(doc, doc, len(tokens), 0, near.bitmap(tokens)))
     pairs = {*near.led(members)}
     assert len(pairs) == 899 and {b for _, b in pairs} == {0}
-    across = {*near.led(members[:400], members[400:])}
-    assert {a for a, _ in across} == {*range(400, 900)} and len(across) == 500
+
+
+def test_links_of_a_group_are_as_few_as_its_documents():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    members, sets = [], {}
+    for doc in range(400):
+        tokens = np.unique(np.concatenate((base[rng.random(200) > rng.choice([0.02, 0.12])], rng.integers(0, 1 << 63, 4).astype(np.uint64))))
+        sets[doc] = tokens
+        members.append(near.Member(doc, doc - doc % 3, len(tokens), 0, near.bitmap(tokens), tokens))
+    root = near.tree(members)
+    inside = [*near.links_of(root, root)]
+    a, b = near.tree(members[:150]), near.tree(members[150:])
+    across = [*near.links_of(a, b)]
+    assert all(near.alike(sets[x], sets[y]) for x, y in inside + across) and len(inside) < 400 and len(across) < 400
+
+    def classes(edges):
+        parent = {m.id: m.comp for m in members}
+
+        def top(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for x, y in edges:
+            x, y = top(x), top(y)
+            parent[max(x, y)] = min(x, y)
+        return {x: top(x) for x in parent}
+
+    true = [(y, x) for x, y in combinations(range(400), 2) if near.alike(sets[x], sets[y])]
+    assert len(true) > 10_000 and classes(inside) == classes(true)
+    assert classes(across) == classes([(y, x) for y, x in true if x < 150 <= y])
 
 
 def test_a_token_of_several_large_groups(spark, monkeypatch):
