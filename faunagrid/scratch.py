@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -25,9 +27,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Who wants to know of new paths.
+_listeners: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths that are made meanwhile."""
+    paths: list[str] = []
+    _listeners.append(paths)
+    try:
+        yield paths
+    finally:
+        _listeners.remove(paths)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path there, deleted when the driver's JVM ends."""
     path = f"{shared_dir(spark)}/faunagrid-{name}-{uuid.uuid4().hex}"
+    for paths in _listeners:
+        paths.append(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return path
