@@ -286,8 +286,8 @@ def _unpacked(cells: np.ndarray, res: int) -> tuple[np.ndarray, np.ndarray]:
     return (cells >> 45 & 127).astype(int), digits
 
 
-def _places(cells: np.ndarray, res: int, offsets: np.ndarray) -> np.ndarray:
-    """Unit vectors of points of cells of one resolution: lattice offsets (n, m, 2) from each centre, in the cell's plane."""
+def _settled(cells: np.ndarray, res: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Faces (n, m), and places (n, m, 2) on them, of points of cells of one resolution: lattice offsets (n, m, 2) from each centre, in the cell's plane."""
     t = tables()
     base, digits = _unpacked(cells, res)
     lead = _leading(digits)
@@ -323,7 +323,32 @@ def _places(cells: np.ndarray, res: int, offsets: np.ndarray) -> np.ndarray:
                     own = _corner_index(u[at], w[at])
                     f[at], u[at], w[at] = _around(t.layout, f[at], u[at], w[at], (own + edge_of) % 3)
         out_face[rows], out_v[rows] = f, u
-    return _from_plane(out_face, out_v).reshape(len(cells), m, 3)
+    return out_face.reshape(len(cells), m), out_v.reshape(len(cells), m, 2)
+
+
+def _places(cells: np.ndarray, res: int, offsets: np.ndarray) -> np.ndarray:
+    """Unit vectors of points of cells."""
+    return _from_plane(*_settled(cells, res, offsets))
+
+
+def _bends(face: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the sides of n outlines from each corner to the next: whether one bends at an edge of the icosahedron, and there the unit vector."""
+    layout = tables().layout
+    f, g = face.reshape(-1), np.roll(face, -1, axis=1).reshape(-1)
+    here, there = v.reshape(-1, 2), np.roll(v, -1, axis=1).reshape(-1, 2)
+    bent, at = np.zeros(len(f), bool), np.zeros((len(f), 3))
+    for edge in range(3):  # of the second corner's face, behind which the first one's is
+        rows = np.flatnonzero((f != g) & (layout.neighbour[g, edge] == f))
+        if not len(rows):
+            continue
+        end = layout.cross(g[rows], there[rows], np.full(len(rows), edge))[1]
+        own = (layout.neighbour[f[rows]] == g[rows, None]).argmax(1)  # the same edge, of the first corner's face
+        low, high = (here[rows] * _NORMALS[own]).sum(1), (end * _NORMALS[own]).sum(1)
+        t = (1 - low) / np.where(high > low, high - low, np.inf)
+        good = (t > 1e-6) & (t < 1 - 1e-6)
+        point = here[rows] + t[:, None] * (end - here[rows])
+        bent[rows], at[rows] = good, _from_plane(f[rows], point)
+    return bent.reshape(face.shape), at.reshape(*face.shape, 3)
 
 
 def _corner_index(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -362,7 +387,7 @@ def valid(cells: np.ndarray) -> np.ndarray:
 
 
 def boundary(cells: np.ndarray) -> list[np.ndarray]:
-    """Corners (lng, lat) of each cell in counter-clockwise order: six, or five of pentagons."""
+    """Corners (lng, lat) of each cell in counter-clockwise order: six, or five of pentagons, and one more where a side crosses an edge of the icosahedron."""
     cells = np.asarray(cells, np.int64)
     out: list[np.ndarray] = [np.empty((0, 2))] * len(cells)
     of = cells >> 52 & 15
@@ -375,9 +400,13 @@ def boundary(cells: np.ndarray) -> list[np.ndarray]:
                 # a pentagon lacks the sector at 240 degrees: its corners are those of the others
                 turns = np.radians(np.array([270, 330, 30, 90, 150, 210]) if corners == 6 else np.array([330, 30, 90, 150, 210]))
                 offsets = np.stack([np.cos(turns), np.sin(turns)], 1) / np.sqrt(3)
-                p = _places(cells[rows], int(res), np.broadcast_to(offsets, (len(rows), corners, 2)))
+                face, v = _settled(cells[rows], int(res), np.broadcast_to(offsets, (len(rows), corners, 2)))
+                bent, more = _bends(face, v)
+                p = np.stack([_from_plane(face, v), more], 2).reshape(len(rows), 2 * corners, 3)
+                kept = np.stack([np.ones_like(bent), bent], 2).reshape(len(rows), 2 * corners)
                 for k, row in enumerate(rows):
-                    out[row] = np.degrees(np.stack([np.arctan2(p[k, :, 1], p[k, :, 0]), np.arcsin(p[k, :, 2])], 1))
+                    ring = p[k, kept[k]]
+                    out[row] = np.degrees(np.stack([np.arctan2(ring[:, 1], ring[:, 0]), np.arcsin(np.clip(ring[:, 2], -1, 1))], 1))
     return out
 
 
