@@ -122,7 +122,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = known.groupBy("id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = texts.withColumn("text", sampled(F.col("text"))).join(F.broadcast(chosen), "id").collect()  # bounded by rows * FIT_CHARS
+    held = texts.join(F.broadcast(chosen), "id")
+    found = held.withColumn("text", sampled(F.col("text"))).collect()  # bounded by rows * FIT_CHARS
     found.sort(key=lambda r: (hash_order(r.id), r.text))
     half = {r.id for r in found[: len(found) // 2]}
     by = [[r.text.encode() for r in found if r.id in half and (r.label == 1) == side] for side in (True, False)]
