@@ -33,6 +33,15 @@ def test_many_at_a_time_as_one_by_one():
     assert CODEC.encode_pieces([x for x in whole if len(x) <= 64]) == [CODEC.encode_piece(x) for x in whole if len(x) <= 64]
 
 
+def test_both_queues_agree_on_either_side_of_the_bound():
+    rng = random.Random(12)
+    for n in range(bpe.CACHE_BYTES - 4, bpe.CACHE_BYTES + 5):
+        pieces = sorted({"".join(rng.choice("abcdeghinorst") for _ in range(n)).encode() for _ in range(20)} | {b"ab" * (n // 2), b"e" * n})
+        assert CODEC.encode_pieces(pieces) == [CODEC.encode_piece(p) for p in pieces]
+        for piece in pieces:
+            assert CODEC.encode(piece.decode()) == PUBLIC.encode_ordinary(piece.decode())
+
+
 def test_the_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 50)
     codec = bpe.Codec(RANKS, PATTERN)
