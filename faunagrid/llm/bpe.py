@@ -30,14 +30,14 @@ from pyspark.sql import types as T
 
 from faunagrid.llm.storage import arrow_map, table
 
-#: Pre-tokens that a worker remembers; then it starts anew.
-CACHE_ENTRIES = 200_000
+#: Pre-tokens that a worker remembers, from task to task (some 100 MB); then it starts anew.
+CACHE_ENTRIES = 500_000
 #: Longer pre-tokens are not remembered, and each has a queue of its own.
 CACHE_BYTES = 64
 #: Bytes of unknown pre-tokens that are encoded at a time.
 CHUNK_BYTES = 1_000_000
-#: Bytes of text, at about, that a worker encodes at a time.
-TEXT_BYTES = 6_000_000
+#: Bytes of text, at about, that a worker encodes at a time, and code points whose pre-tokens it holds.
+TEXT_BYTES, SPLIT_CHARS = 6_000_000, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -242,11 +242,9 @@ class Codec:
         cuts = np.searchsorted(live, np.append(starts, n)).tolist()
         return [tuple(found[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def learn(self, texts: list[str]) -> None:
-        """Encodes and remembers the short pre-tokens of the texts that are not known yet."""
-        unknown: set[str] = set()
-        for text in texts:
-            unknown.update(self.pieces(text))
+    def learn(self, split: list[list[str]]) -> None:
+        """Encodes and remembers the short pre-tokens of some texts that are not known yet."""
+        unknown = set().union(*split)
         if len(self.cache) + len(unknown) > CACHE_ENTRIES:
             self.cache.clear()
         unknown.difference_update(self.cache)
@@ -268,15 +266,23 @@ class Codec:
         return next(self.encode_all([text]))
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
-        """The ids of each text; only one text's pre-tokens are held at a time."""
-        self.learn(texts)
-        known = self.cache.get
-        for text in texts:
-            ids: list[int] = []
-            for piece in self.pieces(text):
-                found = known(piece)
-                ids += self.encode_piece(piece.encode()) if found is None else found
-            yield ids
+        """The ids of each text; the pre-tokens of one text, or of a few short ones, are held at a time."""
+        start = 0
+        while start < len(texts):
+            end, held = start, 0
+            while end < len(texts) and (end == start or held + len(texts[end]) <= SPLIT_CHARS):
+                held += len(texts[end])
+                end += 1
+            split = [self.pieces(text) for text in texts[start:end]]
+            self.learn(split)
+            known = self.cache.get
+            for pieces in split:
+                ids: list[int] = []
+                for piece in pieces:
+                    found = known(piece)
+                    ids += self.encode_piece(piece.encode()) if found is None else found
+                yield ids
+            start = end
 
     def decode(self, ids: list[int]) -> bytes:
         try:
@@ -346,7 +352,6 @@ def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text
                 text_hash.append(hashlib.sha256(c.decode(ids)).hexdigest())
             made = pa.Table.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
             yield from made.to_batches()
-        c.cache.clear()  # an idle worker keeps no more than the vocabulary
 
     schema = T.StructType([T.StructField("key", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     return arrow_map(rows, digests, schema).withColumnRenamed("key", key)
