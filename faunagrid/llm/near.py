@@ -11,10 +11,10 @@ traversals find is verified on whole sets. Trees are built over documents that s
    other has taken, are looked up in the tree, so that a large group is linked without its pairs.
 2. Keys are prefix tokens: by the prefix filter, two sets can only reach the threshold if they share
    one of their first tokens in a common order, here rare tokens first (by a count sketch; any
-   order is right, a rarer one is faster). Tokens whose documents are all linked already are done. To
-   the trees of tokens of many documents come whole sets, so that links are verified as they are found, and
+   order is right, a rarer one is faster). Tokens whose documents are all linked already are done. The trees
+   of a token of a few documents give the pairs to verify.
+3. To the trees of tokens of many documents come whole sets, so that links are verified as they are found, and
    documents that are linked meanwhile are not compared: a tree gives at most as many links as documents.
-3. The tokens of a few documents, as far as they are still open: their trees give the pairs to verify.
 
 Together, the second and the third make the join exact. A token of many documents is dealt to blocks, of one linked group
 each where that has enough of them, and trees of blocks that hold the same group only are not brought together.
@@ -53,7 +53,8 @@ LEAST_CELLS, MOST_CELLS = 12, 21
 #: Documents of one key in one tree, and tokens in their sets, at about.
 BLOCK, BLOCK_TOKENS = 1024, 1 << 19
 LEAF = 8
-LEAST_BITS = 2048
+#: Bits of a signature at least: where many documents meet, and where a few do.
+LEAST_BITS, FEW_BITS = 2048, 256
 #: Documents that a token of a few documents has at most.
 SMALL = 64
 #: Sets verified against one at a time by one task.
@@ -240,9 +241,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # --- signature trees ---
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """A signature of at least two bits a token, and 2048 of short texts, as 64-bit words."""
-    bits = max(LEAST_BITS, min(1 << 16, 1 << (2 * len(tokens) - 1).bit_length()))
+def bitmap(tokens: np.ndarray, least: int = LEAST_BITS) -> np.ndarray:
+    """A signature of at least two bits a token, and ``least`` of short texts, as 64-bit words."""
+    bits = max(least, min(1 << 16, 1 << (2 * len(tokens) - 1).bit_length()))
     out = np.zeros(bits >> 6, np.uint64)
     at = (tokens >> np.uint64(20)) & np.uint64(bits - 1)
     np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
@@ -422,10 +423,6 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
     return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
 
 
-def with_words(postings: DataFrame, nodes: DataFrame) -> DataFrame:
-    return postings.join(nodes.select(F.col("rep").alias("id"), "words").hint("merge"), "id")
-
-
 def token_links(postings: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between groups of documents that share a token, from postings (token, id, comp, n, pos) and (id, tokens)."""
     parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_TOKENS)).cast("int")
@@ -442,7 +439,8 @@ def token_links(postings: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataF
     placed = postings.join(own, ["token", "comp"], "left").join(pool, "token", "left")
     placed = placed.withColumn("owner", F.when(F.col("parts").isNotNull(), F.col("comp"))).withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", "pooled")).cast("int"))
     placed = placed.select("token", "id", "comp", "n", "pos", label.alias("block")).join(sides, ["token", "block"])
-    dealt = with_words(placed, nodes).join(sets.hint("merge"), "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    placed = placed.join(nodes.select(F.col("rep").alias("id"), "words").hint("merge"), "id")
+    dealt = placed.join(sets.hint("merge"), "id").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> Iterator[tuple[int, int]]:
@@ -461,21 +459,6 @@ def token_links(postings: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataF
     return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
 
 
-def token_pairs(postings: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) to verify of documents of different groups that share one of the tokens, each of a few documents."""
-    dealt = with_words(postings, nodes).repartition("token").sortWithinPartitions("token")
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs() -> Iterator[tuple[int, int]]:
-            for _, group in groupby(_rows(batches, "token", "id", "comp", "n", "pos", "words"), key=lambda r: r[0]):
-                root = tree([Member(own, comp, n, pos, np.frombuffer(words, np.uint64)) for _, own, comp, n, pos, words in group])
-                yield from candidates(root, root)
-
-        yield from _pair_rows(pairs())
-
-    return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
-
-
 def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
@@ -494,14 +477,14 @@ def _pair_rows(pairs: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
 
 
 def prefixes(docs: DataFrame, order: Order) -> DataFrame:
-    """(id, n, prefix): the first tokens of each document's set."""
+    """(id, n, prefix, words): the first tokens of each document's set, and its signature where a few documents meet."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(own, len(x), order.prefix(x).tobytes()) for own, x in _sets(batch) if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.binary())], ["id", "n", "prefix"])
+            found = [(own, len(x), order.prefix(x).tobytes(), bitmap(x, FEW_BITS).tobytes()) for own, x in _sets(batch) if len(x)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["id", "n", "prefix", "words"])
 
-    return arrow_map(docs.where("id IS NOT NULL").select("id", "text"), made, "id long, n long, prefix binary")
+    return arrow_map(docs.where("id IS NOT NULL").select("id", "text"), made, "id long, n long, prefix binary, words binary")
 
 
 def shared_tokens(held: DataFrame, buckets: int) -> DataFrame:
@@ -552,12 +535,11 @@ def _spans(tokens: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nd
     return tokens[starts], np.minimum.reduceat(low[order], starts), np.maximum.reduceat(high[order], starts)
 
 
-POSTINGS = "token long, id long, comp long, n long, pos long"
-MEETING = POSTINGS + ", many boolean"
+POSTINGS = ["token", "id", "comp", "n", "pos"]
 
 
 def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
-    """(token, id, comp, n, pos) for the prefix tokens that are shared (stored), or may be.
+    """(token, id, comp, n, pos, words) for the prefix tokens that are shared (stored), or may be.
 
     The tokens travel as bits with the tasks; if they are too many for that, all postings are joined with them.
     """
@@ -567,14 +549,17 @@ def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for own, n, prefix, comp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows: list[np.ndarray] = []
+            for row, (own, n, prefix, comp) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "n", "prefix", "comp")), strict=True)):
                 prefix = np.frombuffer(prefix, np.uint64)
                 at = np.flatnonzero(wanted.has(prefix)) if wanted else np.arange(len(prefix))
+                rows.append(np.full(len(at), row))
                 for column, values in zip(out, (prefix[at].view(np.int64), np.full(len(at), own), np.full(len(at), comp), np.full(len(at), n), at), strict=True):
                     column.append(values)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in out], ["token", "id", "comp", "n", "pos"])
+            words = batch.column("words").take(pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in out), words], [*POSTINGS, "words"])
 
-    found = arrow_map(held.select("id", "n", "prefix", "comp"), made, POSTINGS)
+    found = arrow_map(held.select("id", "n", "prefix", "comp", "words"), made, ", ".join(f"{c} long" for c in POSTINGS) + ", words binary")
     if wanted:
         return found
 
@@ -586,32 +571,47 @@ def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def meeting(postings: DataFrame) -> DataFrame:
-    """The postings without those whose token brings together no two documents of fitting sizes and places; and whether a token has ``many``.
+    """Of tokens of a few documents the pairs (a, b) to verify, by their trees; of tokens of many the postings as they are."""
 
-    Needs no signatures, and leaves tokens of many documents to the trees.
-    """
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many: list[tuple] = []
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for _, group in groupby(_rows(batches, "token", "id", "comp", "n", "pos"), key=lambda r: r[0]):
+        def pairs() -> Iterator[tuple[int, int]]:
+            for _, group in groupby(_rows(batches, *POSTINGS, "words"), key=lambda r: r[0]):
                 few = list(islice(group, SMALL + 1))
                 if len(few) > SMALL:
-                    yield from ((*row, True) for row in chain(few, group))
+                    for row in chain(few, group):
+                        many.append(row[:5])
+                        if len(many) >= 10_000:
+                            yield None  # to let them go
                     continue
-                meets = set()
-                for i, (_, _, comp, n, pos) in enumerate(few):
+                meets = set()  # documents of fitting sizes and places, which need no signatures
+                for i, (_, _, comp, n, pos, _) in enumerate(few):
                     for j in range(i + 1, len(few)):
-                        _, _, other, m, at = few[j]
+                        _, _, other, m, at, _ = few[j]
                         if comp != other and 100 * min(n, m) >= PERCENT * max(n, m) and min(n - pos, m - at) >= overlap_needed(n, m):
                             meets |= {i, j}
-                yield from ((*few[i], False) for i in sorted(meets))
+                if meets:
+                    root = tree([Member(own, comp, n, pos, np.frombuffer(words, np.uint64)) for _, own, comp, n, pos, words in (few[i] for i in meets)])
+                    yield from candidates(root, root)
+
+        found: set[tuple[int, int]] = set()
+        for pair in pairs():
+            if pair:
+                found.add(pair)
+            if len(found) >= 20_000 or len(many) >= 10_000:
+                yield _met(many, found)
+                many.clear()
+                found.clear()
+        yield _met(many, found)
+
+    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), step, ", ".join(f"{c} long" for c in [*POSTINGS, "a", "b"]))
 
-        found = rows()
-        while some := [*islice(found, 10_000)]:
-            columns = [*zip(*some, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.bool_())], ["token", "id", "comp", "n", "pos", "many"])
 
-    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), kept, MEETING)
+def _met(many: list[tuple], pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    rows = [(*row, None, None) for row in many] + [(None,) * 5 + pair for pair in pairs]
+    columns = [*zip(*rows, strict=True)] or [()] * 7
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [*POSTINGS, "a", "b"])
 
 
 # --- the join ---
@@ -646,31 +646,28 @@ def groups(docs: DataFrame) -> DataFrame:
     links = [stored(verified(pairs, sets_of(docs, ids)), "star-links")]
     dropped(pairs, ids)
 
-    # 2: prefix tokens of many documents
+    # 2: prefix tokens of a few documents
     reps = nodes.select(F.col("rep").alias("id")).distinct()
     held = stored(prefixes(docs, order).join(led_by(reps, links[0]).hint("merge"), "id"), "prefixes")
     total = held.agg(F.sum(F.length("prefix"))).first()[0] or 0
     shared = stored(shared_tokens(held, max(64, total // (8 * BUCKET_TOKENS))), "shared-tokens")
-    postings = stored(meeting(open_postings(held, shared)), "postings")
+    met = stored(meeting(open_postings(held, shared)), "met")
     dropped(held, shared)
-    ids = stored(postings.select("id").distinct(), "open-ids")
+    pairs = stored(met.where("a IS NOT NULL").select("a", "b").distinct(), "token-pairs")
+    many = met.where("token IS NOT NULL").select(*POSTINGS)
+    ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(many.select("id")).distinct(), "open-ids")
     sets = stored(sets_of(docs, ids), "open-sets")
-    links.append(stored(token_links(postings.where("many").drop("many"), nodes, sets), "token-links"))
-
-    # 3: prefix tokens of a few documents that are still open
-    comps = stored(components(reduce(DataFrame.unionByName, links)), "groups")
-    grouped = ids.join(comps.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
-    few = postings.where("NOT many").drop("comp").join(grouped, "id").select("token", "id", "comp", "n", "pos")
-    still = stored(meeting(few), "open-postings")
-    pairs = stored(token_pairs(still, nodes), "token-pairs")
-    last = stored(verified(pairs, sets), "last-links")
-    dropped(pairs, still, postings, ids, sets, *links)
-
-    joined = joined_by(comps, last).withColumnRenamed("node", "rep")
+    links.append(stored(verified(pairs, sets), "pair-links"))
+
+    # 3: prefix tokens of many documents
+    links.append(stored(token_links(many, nodes, sets), "token-links"))
+    dropped(pairs, met, ids, sets)
+
+    joined = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "rep")
     labelled = nodes.join(joined, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     by_set = rows.join(labelled, ["k1", "k2"], "left")
     result = stored(by_set.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")), "linked")
-    dropped(found, nodes, comps, last)
+    dropped(found, nodes, *links)
     return result
 
 
@@ -681,18 +678,6 @@ def led_by(ids: DataFrame, links: DataFrame) -> DataFrame:
     return ids.join(first, "id", "left").join(second, "one", "left").select("id", F.coalesce("two", "one", "id").alias("comp"))
 
 
-def joined_by(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """Components (node, component) joined further by a few links (a, b): only the components that these touch are looked at again."""
-    if not links.take(1):
-        return comps
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-    every = stored(comps.unionByName(ends.join(comps, "node", "left_anti").withColumn("component", F.col("node"))), "more-groups")
-    x, y = (every.withColumnsRenamed({"node": end, "component": f"of_{end}"}) for end in ("a", "b"))
-    touched = links.join(x, "a").join(y, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    over = components(touched).select(F.col("component").alias("over"), F.col("node").alias("component"))
-    return every.join(over, "component", "left").select("node", F.coalesce("over", "component").alias("component"))
-
-
 def _sketch(found: DataFrame, size: int) -> np.ndarray:
     """The count sketch of all tasks."""
     wide = found.where("slice IS NOT NULL").select("slice", "cells")
