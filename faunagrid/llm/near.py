@@ -536,10 +536,11 @@ def _spans(tokens: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nd
 
 
 POSTINGS = ["token", "id", "comp", "n", "pos"]
+_LONGS = ", ".join(f"{c} long" for c in POSTINGS)
 
 
 def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
-    """(token, id, comp, n, pos, words) for the prefix tokens that are shared (stored), or may be.
+    """(token, id, comp, n, pos) for the prefix tokens that are shared (stored), or may be.
 
     The tokens travel as bits with the tasks; if they are too many for that, all postings are joined with them.
     """
@@ -549,17 +550,14 @@ def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
-            rows: list[np.ndarray] = []
-            for row, (own, n, prefix, comp) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "n", "prefix", "comp")), strict=True)):
+            for own, n, prefix, comp in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "prefix", "comp")), strict=True):
                 prefix = np.frombuffer(prefix, np.uint64)
                 at = np.flatnonzero(wanted.has(prefix)) if wanted else np.arange(len(prefix))
-                rows.append(np.full(len(at), row))
                 for column, values in zip(out, (prefix[at].view(np.int64), np.full(len(at), own), np.full(len(at), comp), np.full(len(at), n), at), strict=True):
                     column.append(values)
-            words = batch.column("words").take(pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in out), words], [*POSTINGS, "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in out], POSTINGS)
 
-    found = arrow_map(held.select("id", "n", "prefix", "comp", "words"), made, ", ".join(f"{c} long" for c in POSTINGS) + ", words binary")
+    found = arrow_map(held.select("id", "n", "prefix", "comp"), made, _LONGS)
     if wanted:
         return found
 
@@ -571,47 +569,47 @@ def open_postings(held: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def meeting(postings: DataFrame) -> DataFrame:
-    """Of tokens of a few documents the pairs (a, b) to verify, by their trees; of tokens of many the postings as they are."""
+    """The postings without those whose token brings together no two documents of fitting sizes and places; and whether a token has ``many``.
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        many: list[tuple] = []
+    Needs no signatures, which are long for long texts, and leaves tokens of many documents as they are.
+    """
 
-        def pairs() -> Iterator[tuple[int, int]]:
-            for _, group in groupby(_rows(batches, *POSTINGS, "words"), key=lambda r: r[0]):
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for _, group in groupby(_rows(batches, *POSTINGS), key=lambda r: r[0]):
                 few = list(islice(group, SMALL + 1))
                 if len(few) > SMALL:
-                    for row in chain(few, group):
-                        many.append(row[:5])
-                        if len(many) >= 10_000:
-                            yield None  # to let them go
+                    yield from ((*row, True) for row in chain(few, group))
                     continue
-                meets = set()  # documents of fitting sizes and places, which need no signatures
-                for i, (_, _, comp, n, pos, _) in enumerate(few):
+                meets = set()
+                for i, (_, _, comp, n, pos) in enumerate(few):
                     for j in range(i + 1, len(few)):
-                        _, _, other, m, at, _ = few[j]
+                        _, _, other, m, at = few[j]
                         if comp != other and 100 * min(n, m) >= PERCENT * max(n, m) and min(n - pos, m - at) >= overlap_needed(n, m):
                             meets |= {i, j}
-                if meets:
-                    root = tree([Member(own, comp, n, pos, np.frombuffer(words, np.uint64)) for _, own, comp, n, pos, words in (few[i] for i in meets)])
-                    yield from candidates(root, root)
+                yield from ((*few[i], False) for i in sorted(meets))
 
-        found: set[tuple[int, int]] = set()
-        for pair in pairs():
-            if pair:
-                found.add(pair)
-            if len(found) >= 20_000 or len(many) >= 10_000:
-                yield _met(many, found)
-                many.clear()
-                found.clear()
-        yield _met(many, found)
+        found = rows()
+        while some := [*islice(found, 10_000)]:
+            columns = [*zip(*some, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.bool_())], [*POSTINGS, "many"])
 
-    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), step, ", ".join(f"{c} long" for c in [*POSTINGS, "a", "b"]))
+    return arrow_map(postings.repartition("token").sortWithinPartitions("token"), kept, _LONGS + ", many boolean")
 
 
-def _met(many: list[tuple], pairs: set[tuple[int, int]]) -> pa.RecordBatch:
-    rows = [(*row, None, None) for row in many] + [(None,) * 5 + pair for pair in pairs]
-    columns = [*zip(*rows, strict=True)] or [()] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [*POSTINGS, "a", "b"])
+def token_pairs(postings: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs (a, b) to verify of documents that share one of the tokens, each of a few documents; ``words``: (id, words)."""
+    dealt = postings.join(words.hint("merge"), "id").repartition("token").sortWithinPartitions("token")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[tuple[int, int]]:
+            for _, group in groupby(_rows(batches, *POSTINGS, "words"), key=lambda r: r[0]):
+                root = tree([Member(own, comp, n, pos, np.frombuffer(words, np.uint64)) for _, own, comp, n, pos, words in group])
+                yield from candidates(root, root)
+
+        yield from _pair_rows(pairs())
+
+    return arrow_map(dealt, join, "a long, b long").where("a <> b").distinct()
 
 
 # --- the join ---
@@ -652,9 +650,9 @@ def groups(docs: DataFrame) -> DataFrame:
     total = held.agg(F.sum(F.length("prefix"))).first()[0] or 0
     shared = stored(shared_tokens(held, max(64, total // (8 * BUCKET_TOKENS))), "shared-tokens")
     met = stored(meeting(open_postings(held, shared)), "met")
+    pairs = stored(token_pairs(met.where("NOT many").drop("many"), held.select("id", "words")), "token-pairs")
     dropped(held, shared)
-    pairs = stored(met.where("a IS NOT NULL").select("a", "b").distinct(), "token-pairs")
-    many = met.where("token IS NOT NULL").select(*POSTINGS)
+    many = met.where("many").drop("many")
     ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(many.select("id")).distinct(), "open-ids")
     sets = stored(sets_of(docs, ids), "open-sets")
     links.append(stored(verified(pairs, sets), "pair-links"))
