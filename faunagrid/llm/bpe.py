@@ -30,14 +30,14 @@ from pyspark.sql import types as T
 
 from faunagrid.llm.storage import arrow_map, table
 
-#: Pre-tokens that a worker remembers, from task to task (some 100 MB); then it starts anew.
-CACHE_ENTRIES = 500_000
+#: Pre-tokens that a worker remembers, from task to task (some 40 MB); then it starts anew.
+CACHE_ENTRIES = 200_000
 #: Longer pre-tokens are not remembered, and each has a queue of its own.
 CACHE_BYTES = 64
 #: Bytes of unknown pre-tokens that are encoded at a time.
 CHUNK_BYTES = 1_000_000
 #: Bytes of text, at about, that a worker encodes at a time, and code points whose pre-tokens it holds.
-TEXT_BYTES, SPLIT_CHARS = 6_000_000, 2_000_000
+TEXT_BYTES, SPLIT_CHARS = 3_000_000, 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
