@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +31,14 @@ from pyspark.sql import types as T
 
 from faunagrid.llm.storage import arrow_map, table
 
-#: Pre-tokens that a worker remembers, from task to task (some 40 MB); then it starts anew.
-CACHE_ENTRIES = 200_000
+#: Pre-tokens that a worker remembers, from task to task, unless told otherwise (some 120 MB); then it starts anew.
+CACHE_ENTRIES = 600_000
 #: Longer pre-tokens are not remembered, and each has a queue of its own.
 CACHE_BYTES = 64
 #: Bytes of unknown pre-tokens that are encoded at a time.
 CHUNK_BYTES = 1_000_000
 #: Bytes of text, at about, that a worker encodes at a time, and code points whose pre-tokens it holds.
-TEXT_BYTES, SPLIT_CHARS = 3_000_000, 1_000_000
+TEXT_BYTES, SPLIT_CHARS = 3_500_000, 3_500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -89,6 +90,7 @@ class Codec:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.names = {rank: str(rank) for rank in self.tokens}
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.most = CACHE_ENTRIES
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.none = (max(ranks.values()) >> 6) + 1 << 6  # no rank, and in a word of its own
         self.width = self.none + 1
@@ -245,7 +247,7 @@ class Codec:
     def learn(self, split: list[list[str]]) -> None:
         """Encodes and remembers the short pre-tokens of some texts that are not known yet."""
         unknown = set().union(*split)
-        if len(self.cache) + len(unknown) > CACHE_ENTRIES:
+        if len(self.cache) + len(unknown) > self.most:
             self.cache.clear()
         unknown.difference_update(self.cache)
         todo, data, held = [], [], 0
@@ -275,13 +277,12 @@ class Codec:
                 end += 1
             split = [self.pieces(text) for text in texts[start:end]]
             self.learn(split)
-            known = self.cache.get
+            known = self.cache
             for pieces in split:
-                ids: list[int] = []
-                for piece in pieces:
-                    found = known(piece)
-                    ids += self.encode_piece(piece.encode()) if found is None else found
-                yield ids
+                try:
+                    yield [*chain.from_iterable(map(known.__getitem__, pieces))]
+                except KeyError:  # long ones among them
+                    yield [*chain.from_iterable(known.get(x) or self.encode_piece(x.encode()) for x in pieces)]
             start = end
 
     def decode(self, ids: list[int]) -> bytes:
@@ -334,16 +335,17 @@ def decode_tokens(df: DataFrame, path: str, pattern: str, tokens: str = "tokens"
     return df.withColumn(into, decoded(F.col(tokens)))
 
 
-def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", remembered: int = CACHE_ENTRIES) -> DataFrame:
     """Per row its key, n_tokens, and SHA-256 of the decimal ids and of the bytes decoded from them.
 
-    Encodes, then decodes within one pass, so that the ids never leave the worker.
+    Encodes, then decodes within one pass, so that the ids never leave the worker, which remembers so many pre-tokens.
     """
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType
 
     def digests(batches):
         c = codec(path, pattern)
+        c.most = remembered
         for part in gathered(batches, TEXT_BYTES):
             n, ids_hash, text_hash = [], [], []
             for ids in c.encode_all(part.column(1).to_pylist()):

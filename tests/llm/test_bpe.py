@@ -45,6 +45,7 @@ def test_both_queues_agree_on_either_side_of_the_bound():
 def test_the_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 50)
     codec = bpe.Codec(RANKS, PATTERN)
+    assert codec.most == 50
     for text in texts():
         assert codec.encode(text) == PUBLIC.encode_ordinary(text)
 
