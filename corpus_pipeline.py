@@ -23,6 +23,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+#: Pre-tokens that a worker remembers in the last stage: fewer, since it comes after others that have filled the executors.
+REMEMBERED = 200_000
 _left: list[str] = []
 
 
@@ -93,7 +95,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts, and digests of the ids and of the bytes that they decode to; a null text has no tokens."""
-    return bpe.round_trip(docs, *bpe.vocabulary())
+    return bpe.round_trip(docs, *bpe.vocabulary(), remembered=REMEMBERED)
 
 
 STAGES = [
