@@ -55,9 +55,12 @@ def calc_indicators(df: DataFrame, esn: float = ESN) -> DataFrame:
 
 def summary(df: DataFrame, column: str = "value") -> DataFrame:
     """Least and largest value, quantiles of 2 and 98 percent (interpolated), and how many there are: one row."""
-    values = df.select(F.col(column).cast("double").alias("value")).where("value IS NOT NULL")
-    least, most, n = values.agg(F.min("value"), F.max("value"), F.count("*")).first()
-    found = [least, most, *(quantile(values, share, n) if n else None for share in (0.02, 0.98)), n]
+    values = df.select(F.col(column).cast("double").alias("value")).where("value IS NOT NULL").persist()
+    try:
+        least, most, n = values.agg(F.min("value"), F.max("value"), F.count("*")).first()
+        found = [least, most, *(quantile(values, share, n) if n else None for share in (0.02, 0.98)), n]
+    finally:
+        values.unpersist()
     return df.sparkSession.createDataFrame([found], "min double, max double, p02 double, p98 double, n long")
 
 
