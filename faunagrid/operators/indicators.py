@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faunagrid.functions.stats import entropy_term, es_term
 from faunagrid.schema import ESN
@@ -33,12 +34,20 @@ def species_totals(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def indicators_of(totals: DataFrame, *keys: str, esn: float = ESN) -> DataFrame:
-    """All indicators from (keys, species, ni), one row per species and cell."""
+    """All indicators from (keys, species, ni), one row per species and cell.
+
+    Simpson's index is the sum of squared records over n squared. A sum of squared shares would depend in its last bits
+    on the order of species, and so would the side of a tie that it is rounded to.
+    """
+    exact = "decimal(19,0)" if isinstance(totals.schema["ni"].dataType, T.IntegralType) else "double"  # squares of 64-bit counts, and their sums, have 38 digits
+    squared = {c: F.col(c).cast(exact) * F.col(c).cast(exact) for c in ("ni", "n")}
     totals = totals.withColumn("n", F.sum("ni").over(Window.partitionBy(*keys)))
     p = F.try_divide(F.col("ni").cast("double"), F.col("n").cast("double"))
-    terms = totals.select(*keys, "n", entropy_term(p).alias("hi"), (p * p).alias("si"), p.alias("qi"), es_term(F.col("n"), F.col("ni"), esn).alias("esi"))
-    found = terms.groupBy(*keys).agg(F.max("n").alias("n"), F.count("*").alias("sp"), (F.sum("hi") + 0.0).alias("shannon"), F.sum("si").alias("simpson"), F.max("qi").alias("maxp"), F.sum("esi").alias("es"))
-    return found.withColumns({"hill_1": F.exp("shannon"), "hill_2": F.try_divide(F.lit(1.0), F.col("simpson")), "hill_inf": F.try_divide(F.lit(1.0), F.col("maxp"))})
+    terms = totals.select(*keys, "n", entropy_term(p).alias("hi"), squared["ni"].alias("si"), p.alias("qi"), es_term(F.col("n"), F.col("ni"), esn).alias("esi"))
+    found = terms.groupBy(*keys).agg(F.max("n").alias("n"), F.count("*").alias("sp"), (F.sum("hi") + 0.0).alias("shannon"), F.sum("si").cast("double").alias("squares"), F.max("qi").alias("maxp"), F.sum("esi").alias("es"))
+    whole = squared["n"].cast("double")
+    found = found.withColumns({"simpson": F.try_divide(F.col("squares"), whole), "hill_1": F.exp("shannon"), "hill_2": F.try_divide(whole, F.col("squares")), "hill_inf": F.try_divide(F.lit(1.0), F.col("maxp"))})
+    return found.select(*keys, *COLUMNS)
 
 
 def calc_indicators(df: DataFrame, esn: float = ESN) -> DataFrame:

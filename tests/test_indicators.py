@@ -1,5 +1,6 @@
 import math
 import random
+from itertools import permutations
 
 import pytest
 from faunagrid.functions.stats import lgamma
@@ -25,6 +26,22 @@ def test_unit_frame(spark):
     assert a.hill_1 == pytest.approx(math.exp(a.shannon)) and a.hill_2 == pytest.approx(1 / 0.46) and a.hill_inf == pytest.approx(1 / 0.6)
 
 
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_simpson_does_not_depend_on_the_order_of_species(spark, kind):
+    orders = [*enumerate(permutations((14, 17, 13, 20, 16)))]  # 1310 / 6400 = 0.2046875, a tie of six places
+    rows = [(cell, f"s{i}", n) for cell, counts in orders for i, n in enumerate(counts)]
+    df = spark.createDataFrame(rows, "cell long, species string, records long").withColumn("records", F.col("records").cast(kind))
+    got = calc_indicators(df).select("simpson", "hill_2", F.round("simpson", 6)).distinct().collect()
+    assert [tuple(r) for r in got] == [(1310 / 6400, 6400 / 1310, 0.204688)]
+
+
+def test_simpson_of_large_counts(spark):
+    counts = [2**62, 2**61 + 1, 2**40 + 3, 94906267, 1]  # squares beyond 2^53, and beyond 2^64
+    df = spark.createDataFrame([(c, f"s{(i + c) % 5}", n) for c in range(5) for i, n in enumerate(counts)], "cell long, species string, records long")
+    squares, whole = sum(n * n for n in counts), sum(counts) ** 2
+    assert {(r.simpson, r.hill_2) for r in calc_indicators(df).collect()} == {(float(squares) / float(whole), float(whole) / float(squares))}
+
+
 def test_other_columns_and_nulls(spark):
     rows = [("a", None, 3, 1), ("a", "x", None, 2), ("a", "x", 7, 3), (None, "x", 2, 4)]
     got = by_cell(calc_indicators(spark.createDataFrame(rows, "cell string, species string, records long, n int")))
